@@ -1,0 +1 @@
+"""Intentionally empty: the catalogue pipeline is batch only, so no stream operator is offered."""
