@@ -110,16 +110,16 @@ def wide_product(tables: list[DataFrame], requested: list[str]) -> DataFrame:
     to one empty row per sku before the shuffle, which keeps the skus that have nothing else.
     """
     wanted = list(dict.fromkeys(a.lower() for a in requested))
-    name = F.lower("atributo")
+    asked = F.col("atributo").isin(wanted)
     typed, value_columns = [], []
     for table in tables:
         column = f"valor_{family_of(table.schema['valor'].dataType)}"
         value_columns.append(column)
-        asked = name.isin(wanted)
+        named = table.select(F.trim("sku").alias("sku"), F.lower("atributo").alias("atributo"), "valor")
         typed.append(
-            table.select(
-                F.trim("sku").alias("sku"),
-                F.when(asked, name).alias("atributo"),
+            named.select(
+                "sku",
+                F.when(asked, F.col("atributo")).alias("atributo"),
                 F.when(asked, F.col("valor")).alias(column),
             )
         )
