@@ -51,19 +51,24 @@ def eav_build(
     """Flatten products into (source, load time, sku, product name, attribute, value).
 
     Attributes are filtered before their values are expanded. Distinct values of one attribute
-    come together by a set aggregate, which drops copies before the shuffle.
+    come together by a set aggregate, which drops copies before the shuffle; one text per brand
+    is then made inside the row, so distinct rows need no second shuffle.
     """
     values = value_rows(keep_active(attribute_rows(products), "id", input_filter))
-    detail = F.struct("name", "updateDate", "value", "uom", "valueId", "subValue")
-    grouped = values.groupBy("sku", "nome_produto", "id", "brand").agg(
-        F.collect_set(detail).alias("detalhes")
-    )
-    texts = F.transform("detalhes", lambda v: with_unit(v["value"], v["uom"]))
-    rows = (
-        grouped.where(F.lower("id") != K.BRAND_ATTRIBUTE)
-        .select("sku", "nome_produto", F.col("id").alias("atributo"), joined(texts, separator).alias("valor"))
-        .distinct()
+    detail = F.struct("brand", "name", "updateDate", "value", "uom", "valueId", "subValue")
+    grouped = (
+        values.where(F.lower("id") != K.BRAND_ATTRIBUTE)
+        .groupBy("sku", "nome_produto", F.col("id").alias("atributo"))
+        .agg(F.collect_set(detail).alias("detalhes"))
     )
+
+    def text_of(brand: Column) -> Column:
+        own = F.filter("detalhes", lambda v: v["brand"] == brand)
+        return joined(F.transform(own, lambda v: with_unit(v["value"], v["uom"])), separator)
+
+    names = F.array_distinct(F.transform("detalhes", lambda v: v["brand"]))
+    texts = F.array_distinct(F.transform(names, text_of))
+    rows = grouped.select("sku", "nome_produto", "atributo", F.explode(texts).alias("valor"))
     brands = products.select(
         "sku",
         F.col("name").alias("nome_produto"),

@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.session import materialise
+from skuloom.session import materialise, small_rows
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -28,8 +28,8 @@ def surrogate_id(df: DataFrame, order: list[str], output: str = "id") -> DataFra
         (r.parte, r.n) for r in numbered.groupBy(part.alias("parte")).count().toDF("parte", "n").collect()
     )
     starts = accumulate((n for _, n in counts), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        [(p, s) for (p, _), s in zip(counts, starts)], "_parte long, _inicio long"
+    offsets = small_rows(
+        df.sparkSession, [(p, s) for (p, _), s in zip(counts, starts)], "_parte long, _inicio long"
     )
     row = F.col("_linha").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (

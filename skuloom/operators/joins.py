@@ -20,6 +20,13 @@ def salt_count(df: DataFrame) -> int:
     return min(64, max(4, partitions // 4))
 
 
+def splits_skew(df: DataFrame) -> bool:
+    """Whether this session splits oversized join partitions while a query runs."""
+    conf = df.sparkSession.conf
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(conf.get(n, "true").lower() == "true" for n in names)
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -29,14 +36,17 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows to a lookup table whose keys may be hot on the left.
 
-    Each left row goes to one of ``salts`` sub-keys and the lookup is repeated once per sub-key,
-    so a key with a third of all rows is spread over many tasks. No broadcast is forced: Spark
-    chooses one when its size estimate or the measured shuffle size is below its own threshold.
-    The salt is the number of the task that made the row, so copies of one row are spread as well,
-    and a repeated task gives the same salt again.
+    No broadcast is forced: Spark makes one on its own below its size threshold. Beyond it, a key
+    with a third of all rows must not end in one task. Adaptive execution splits such a partition
+    to even pieces, since every join type allowed here may split its left side. Where the session
+    has that switched off (or ``salts`` is given), each left row goes to one of ``salts`` sub-keys
+    and the lookup is repeated once per sub-key. The salt is the number of the task that made
+    the row: copies of one row are spread as well, and a repeated task gives the same salt again.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join cannot be {how!r}")
+    if salts is None and splits_skew(left):
+        return left.join(right, keys, how)
     salts = salts or salt_count(left)
     spread = left.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
     repeated = right.withColumn(_SALT, F.explode(F.array(*[F.lit(i) for i in range(salts)])))

@@ -656,8 +656,14 @@ def side_by_side(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """Completeness of the parts shown on the site."""
-    return completeness.completeness(I.primary_paths(spark, sf), I.rule_nodes(spark, sf), _eav(spark, sf))
+    """Completeness of the parts shown on the site.
+
+    The attribute store is a table: it is built once, written, and then read for both the site
+    flags and the values.
+    """
+    store = tables.write_version(_eav(spark, sf), "eav")
+    stored = tables.read_table(spark, store)
+    return completeness.completeness(I.primary_paths(spark, sf), I.rule_nodes(spark, sf), stored)
 
 
 @query("d19_completeness", f"WITH {O.MATRIX} SELECT * FROM matriz")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuloom.session import small_rows
 from skuloom.sources.schemas import ATTRIBUTE_CATALOGUE, OUTPUT_FILTER
 
 LOAD_TIME_TEXT = "2024-01-01 00:00:00"
@@ -19,8 +20,37 @@ def load_time() -> Column:
     return F.lit(LOAD_TIME_TEXT).cast("timestamp")
 
 
+# Declared schemas of the given tables: no job has to open files to infer them.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(column: str) -> Column:
@@ -137,15 +167,15 @@ INPUT_KEYS = "sistema_origem string, tabela_origem string, id_atributo_entrada s
 
 
 def input_filter(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INPUT_ROWS, INPUT_KEYS).withColumn("data_criacao", load_time())
+    return small_rows(spark, INPUT_ROWS, INPUT_KEYS).withColumn("data_criacao", load_time())
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATALOGUE_ROWS, ATTRIBUTE_CATALOGUE)
+    return small_rows(spark, CATALOGUE_ROWS, ATTRIBUTE_CATALOGUE)
 
 
 def output_filter(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(OUTPUT_ROWS, OUTPUT_FILTER)
+    return small_rows(spark, OUTPUT_ROWS, OUTPUT_FILTER)
 
 
 def part_input_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -38,3 +40,14 @@ def materialise(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def small_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver rows as a DataFrame.
+
+    Arrow data becomes a local relation of known size: Spark can broadcast it on its own and no
+    Python worker takes part, unlike rows passed as a plain list.
+    """
+    names = StructType.fromDDL(schema).fieldNames()
+    columns = {n: [r[i] for r in rows] for i, n in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns), schema)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuloom import constants as K
 from skuloom.functions.text import flag, norm
 from skuloom.functions.types import catalogue_type
 from skuloom.operators.joins import lookup_join
+from skuloom.session import small_rows
 from skuloom.sources.schemas import CONTROL_TABLES
 
 MAX_SPEC_ROWS = 10_000
@@ -85,8 +87,6 @@ def spec_rows(spec: DataFrame) -> list[tuple[str | None, str, str, str | None]]:
 
 def attribute_classes(input_filter: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Long list (input id, catalogue id, class) of the attribute classes used by the checks."""
-    from skuloom import constants as K
-
     table, kind = F.col("nome_tabela"), F.col("tipo_dado_atributo")
     record = ~table.isin(*K.DOCUMENT_TABLES)
     classes = F.array(
@@ -121,8 +121,8 @@ def class_ids(input_filter: DataFrame, catalogue: DataFrame, name: str) -> DataF
 def schema_rows(df: DataFrame, system: str, table: str, load_time: F.Column) -> DataFrame:
     """One inactive input-filter row per column of ``df``."""
     rows = [(system, table, c.strip().lower()) for c in df.columns]
-    described = df.sparkSession.createDataFrame(
-        rows, "sistema_origem string, tabela_origem string, id_atributo_entrada string"
+    described = small_rows(
+        df.sparkSession, rows, "sistema_origem string, tabela_origem string, id_atributo_entrada string"
     )
     return described.select(
         "*",
