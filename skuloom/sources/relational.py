@@ -20,7 +20,7 @@ def jdbc_read_options(
     """
     options = {
         "url": url,
-        "dbtable": f"({query.rstrip().rstrip(';')}) q",
+        "dbtable": f"({query.strip().rstrip(';').rstrip()}) q",
         "fetchsize": str(fetch_size),
         **connection,
     }
