@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.text import strip_brackets
+from skuloom.operators.pivots import pivot_max
 from skuloom.sources.control import keep_active
 
 
@@ -40,7 +41,7 @@ def document_assets(
     )
     keys = [c for c in named.columns if c != "attributes"]
     values = _attribute_values(named, keys, input_filter)
-    return values.groupBy(*keys).pivot("atributo", attributes).agg(F.max("value"))
+    return pivot_max(values, keys, "atributo", attributes, ["value"])
 
 
 def image_assets(products: DataFrame, input_filter: DataFrame, attributes: list[str]) -> DataFrame:
@@ -66,10 +67,8 @@ def image_assets(products: DataFrame, input_filter: DataFrame, attributes: list[
     )
     keys = [c for c in named.columns if c != "attributes"]
     values = _attribute_values(named, keys, input_filter).withColumnRenamed("uom", "unidade_medida")
-    return (
-        values.groupBy(*keys, "nome_atributo", "unidade_medida")
-        .pivot("atributo", attributes)
-        .agg(F.max("value"))
+    return pivot_max(
+        values, [*keys, "nome_atributo", "unidade_medida"], "atributo", attributes, ["value"]
     )
 
 
@@ -81,19 +80,15 @@ def documents_by_type(products: DataFrame, documents: DataFrame, types: list[str
     """
     assets = documents.select("sku", F.inline("assets.documents"), F.col("brand").alias("marca"))
     filled = assets.where(F.exists("attributes", lambda a: F.size(a["values"]) > 0))
-    wide = (
-        filled.select(
-            F.col("sku").alias("doc_sku"),
-            "marca",
-            F.lit("documento").alias("tipo_arquivo"),
-            F.lower("type.id").alias("id_ref"),
-            "url",
-        )
-        .groupBy("doc_sku", "marca", "tipo_arquivo")
-        .pivot("id_ref", types)
-        .agg(F.max("url"))
-        .drop("marca")
+    named = filled.select(
+        F.col("sku").alias("doc_sku"),
+        "marca",
+        F.lit("documento").alias("tipo_arquivo"),
+        F.lower("type.id").alias("id_ref"),
+        "url",
     )
+    keys = ["doc_sku", "marca", "tipo_arquivo"]
+    wide = pivot_max(named, keys, "id_ref", types, ["url"]).drop("marca")
     return products.join(wide, products["sku"] == wide["doc_sku"], "left").drop("doc_sku").distinct()
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.text import is_blank
 from skuloom.operators.joins import lookup_join
+from skuloom.operators.pivots import pivot_max
 
 
 def trimmed(df: DataFrame, *columns: str) -> DataFrame:
@@ -119,11 +120,8 @@ def classification(
     change a maximum of values.
     """
     values = characteristic_values(ausp, cabn, blank_as_null)
-    objects = (
-        values.groupBy("objek", F.col("klart").alias("tipo_classe"))
-        .pivot("atributo", attributes)
-        .agg(F.max("valor"))
-    )
+    classed = values.withColumnRenamed("klart", "tipo_classe")
+    objects = pivot_max(classed, ["objek", "tipo_classe"], "atributo", attributes, ["valor"])
     materials = _materials(mara, inob, class_type)
     joined = objects.join(materials, objects["objek"] == materials["cuobj"])
     return joined.groupBy(*MATERIAL_KEYS).agg(*[F.max(F.col(f"`{a}`")).alias(a) for a in attributes])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.text import is_blank, joined, with_unit
 from skuloom.functions.types import STORED_AS, columns_by_family, family_of
+from skuloom.operators.pivots import pivot_max
 from skuloom.sources.control import keep_active
 from skuloom.sources.tables import union_tables
 
@@ -111,8 +112,8 @@ def wide_product(tables: list[DataFrame], requested: list[str]) -> DataFrame:
     """One row per sku, one text column per requested attribute holding its largest value.
 
     The typed tables are stacked and aggregated once; each type keeps its own value column until
-    the maximum is known, so numbers compare as numbers. Attributes nobody asked for collapse
-    to one empty row per sku before the shuffle, which keeps the skus that have nothing else.
+    the maximum is known, so numbers compare as numbers. Attributes nobody asked for lose their
+    name and value, so they cost nothing in the shuffle but keep the skus that have nothing else.
     """
     wanted = list(dict.fromkeys(a.lower() for a in requested))
     asked = F.col("atributo").isin(wanted)
@@ -132,11 +133,8 @@ def wide_product(tables: list[DataFrame], requested: list[str]) -> DataFrame:
     long = typed[0]
     for table in typed[1:]:
         long = long.unionByName(table, allowMissingColumns=True)
-    best = long.groupBy("sku", "atributo").agg(*[F.max(c).alias(c) for c in value_columns])
-    text = best.select(
-        "sku", "atributo", F.coalesce(*[F.col(c).cast("string") for c in value_columns]).alias("valor")
-    )
-    return text.groupBy("sku").pivot("atributo", wanted).agg(F.max("valor"))
+    text = pivot_max(long, ["sku"], "atributo", wanted, value_columns)
+    return text.select("sku", *[F.col(f"`{a}`").cast("string").alias(a) for a in wanted])
 
 
 def stack_eav(tables: list[DataFrame]) -> DataFrame:

@@ -84,13 +84,17 @@ def institutional_urls(
     suffix = F.coalesce("sufixo_hist", F.concat(name_slug, without(F.col("sku"), ".")))
     url = without(fold_accents(F.concat(F.lit(base_url), *slugs, suffix)), '"')
 
-    placed = products.select("sku", "nome_produto").join(links.select("sku", "hierarquia"), "sku")
-    nodes = hierarchy.select("hierarquia", "descricao", *[f"nivel{i}" for i in range(1, 5)])
-    located = lookup_join(placed, nodes, ["hierarquia"], "inner")
     extras = ["palavra_chave", "produto_relacionado", "assinatura_arquiteto"]
     past = history.select("sku", F.col("url").alias("sufixo_hist"), *extras)
+    # Both joins by sku come first and share one partitioning; the nodes follow as a lookup.
+    placed = (
+        products.select("sku", "nome_produto")
+        .join(links.select("sku", "hierarquia"), "sku")
+        .join(past, "sku", "left")
+    )
+    nodes = hierarchy.select("hierarquia", "descricao", *[f"nivel{i}" for i in range(1, 5)])
     return (
-        located.join(past, "sku", "left")
+        lookup_join(placed, nodes, ["hierarquia"], "inner")
         .select("sku", url.alias("url_catalogo_institucional"), *extras)
         .distinct()
     )

@@ -12,6 +12,7 @@ from skuloom import constants as K
 from skuloom.functions.text import blank_fill, is_blank, norm
 from skuloom.operators.eav import attribute_rows, value_rows
 from skuloom.operators.joins import lookup_join
+from skuloom.session import materialise
 
 LEFT, RIGHT = "site", "catalogo"
 
@@ -55,29 +56,30 @@ def column_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str])
     return _paired(left, right, key, columns).select(key, F.inline(found)).drop("difere")
 
 
-def differing_columns(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> list[str]:
-    """The columns with at least one difference: one aggregated row decides the schema."""
-    flags = _paired(left, right, key, columns).agg(*[F.bool_or(_differs(c)).alias(c) for c in columns])
-    row = flags.first()
-    return [c for c in columns if row[c]]
-
-
 def diff_matrix(
     left: DataFrame,
     right: DataFrame,
     key: str,
     columns: list[str],
     prefixes: tuple[str, str] = (LEFT, RIGHT),
+    drop_equal: bool = False,
 ) -> DataFrame:
     """One row per common key: both values of each differing column, blank where they agree.
 
-    Both values are on the joined row already, so the matrix needs no pivot.
+    Both values are on the joined row already, so the matrix needs no pivot. With ``drop_equal``
+    columns that never differ are left out: the joined rows are written once to the shared
+    folder, and one aggregated row of flags decides the schema.
     """
+    paired = _paired(left, right, key, columns)
+    if drop_equal:
+        paired = materialise(paired)
+        flags = paired.agg(*[F.bool_or(_differs(c)).alias(c) for c in columns]).first()
+        columns = [c for c in columns if flags[c]]
     pairs = []
     for c in columns:
         for prefix, side in zip(prefixes, ("e", "d")):
             pairs.append(F.when(_differs(c), F.col(side)[c]).alias(f"{prefix}_{c}"))
-    return blank_fill(_paired(left, right, key, columns).select(key, *pairs)).distinct()
+    return blank_fill(paired.select(key, *pairs)).distinct()
 
 
 def side_by_side(
@@ -186,6 +188,22 @@ def blank_urls(documents: DataFrame, images: DataFrame) -> DataFrame:
     return named.unionByName(asset_findings(images, "images").where(F.col("regra") == BLANK_URL))
 
 
+def findings(
+    products: DataFrame,
+    record_ids: DataFrame,
+    number_ids: DataFrame,
+    documents: DataFrame,
+    images: DataFrame,
+) -> DataFrame:
+    """All findings of all rules; each asset source is read once for all its rules."""
+    return (
+        attribute_name_findings(products, record_ids)
+        .unionByName(number_findings(products, number_ids))
+        .unionByName(asset_findings(documents, "documents"))
+        .unionByName(asset_findings(images, "images"))
+    )
+
+
 def number_findings(products: DataFrame, number_ids: DataFrame) -> DataFrame:
     """Invalid numbers in the shape of the findings table."""
     return invalid_numbers(products, number_ids).select(

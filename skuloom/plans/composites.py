@@ -15,6 +15,7 @@ from skuloom.operators import (
     publish,
     quality,
     references,
+    site,
     sync,
 )
 from skuloom.plans import inputs as I
@@ -93,27 +94,17 @@ def upsert_all(spark: SparkSession, sf: str) -> DataFrame:
     return sync.upsert_all(target, I.order_stage(spark, sf), ["sku", "status"])
 
 
-@query(
-    "s11_update_matched",
-    """SELECT CAST(p_partkey AS VARCHAR) AS sku, CASE WHEN p_size = 7 THEN NULL WHEN p_type = 'PROMO'
+_SHOP = """SELECT CAST(p_partkey AS VARCHAR) AS sku, CASE WHEN p_size = 7 THEN NULL WHEN p_type = 'PROMO'
     THEN 'https://loja.example/v2/' || p_partkey ELSE 'https://loja.example/v1/' || p_partkey END AS url_loja
-    FROM part""",
-)
-def update_matched(spark: SparkSession, sf: str) -> DataFrame:
-    """Shop urls by parent reference; promoted parts have two, of which the larger wins."""
-    key = I.text("p_partkey")
-    parts = I.table(spark, sf, "part")
+    FROM part"""
 
-    def shop(rows: DataFrame, version: str) -> DataFrame:
-        url = F.concat(F.lit(f"https://loja.example/{version}/"), key)
-        return rows.select(
-            F.concat(F.lit(" "), key, F.lit(K.PARENT_REFERENCE_SUFFIX)).alias("ProductRefId"),
-            F.when(F.col("p_size") != 7, url).alias("DetailUrl"),
-        )
 
-    skus = shop(parts, "v1").unionByName(shop(parts.where("p_type = 'PROMO'"), "v2"))
-    target = parts.select(key.alias("sku"), F.lit(None).cast("string").alias("url_loja"))
-    return sync.update_shop_urls(target, skus, K.PARENT_REFERENCE_SUFFIX, "url_loja")
+@query("s11_update_matched", _SHOP)
+def update_matched(spark: SparkSession, sf: str) -> DataFrame:
+    """Shop urls by parent reference; promoted parts have two, of which the larger wins."""
+    none = F.lit(None).cast("string")
+    target = I.table(spark, sf, "part").select(I.text("p_partkey").alias("sku"), none.alias("url_loja"))
+    return sync.update_shop_urls(target, I.shop_skus(spark, sf), K.PARENT_REFERENCE_SUFFIX, "url_loja")
 
 
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,18 +346,20 @@ def image_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return assets.image_sizes(images.select("sku", F.col("id").alias("id_arquivo"), "resize"))
 
 
+_DOC_TYPES = ["doc-manual", "doc-ficha", "doc-cad"]
+_DOCS = """docs AS (SELECT sku, brand, max(CASE WHEN type_id = 'DOC-manual' THEN url END) AS "doc-manual",
+      max(CASE WHEN type_id = 'DOC-ficha' THEN url END) AS "doc-ficha",
+      max(CASE WHEN type_id = 'DOC-cad' THEN url END) AS "doc-cad" FROM pg GROUP BY sku, brand)"""
+
+
 @query(
     "d25_documents_by_type",
-    f"""WITH {O.PAGES}, produtos AS (SELECT sku, max(page_url) AS pagina FROM pg GROUP BY sku),
-    docs AS (SELECT sku, brand, max(CASE WHEN type_id = 'DOC-manual' THEN url END) AS "doc-manual",
-      max(CASE WHEN type_id = 'DOC-ficha' THEN url END) AS "doc-ficha",
-      max(CASE WHEN type_id = 'DOC-cad' THEN url END) AS "doc-cad" FROM pg GROUP BY sku, brand)
+    f"""WITH {O.PAGES}, produtos AS (SELECT sku, max(page_url) AS pagina FROM pg GROUP BY sku), {_DOCS}
     SELECT DISTINCT p.sku, pagina, 'documento' AS tipo_arquivo, "doc-manual", "doc-ficha", "doc-cad"
     FROM produtos p LEFT JOIN docs d ON d.sku = p.sku""",
 )
 def documents_by_type(spark: SparkSession, sf: str) -> DataFrame:
-    types = ["doc-manual", "doc-ficha", "doc-cad"]
-    return assets.documents_by_type(I.page_products(spark, sf), I.document_products(spark, sf), types)
+    return assets.documents_by_type(I.page_products(spark, sf), I.document_products(spark, sf), _DOC_TYPES)
 
 
 # --- hierarchy and references -----------------------------------------------------------------
@@ -440,16 +433,16 @@ def on_site(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy.on_site(products, I.site_links(spark, sf), placed)
 
 
-@query(
-    "d08_reference_lists",
-    """SELECT coalesce(r.sku, i.sku) AS sku, r."relatedItems", i."installationItems" FROM (
+_REFERENCES = """SELECT coalesce(r.sku, i.sku) AS sku, r."relatedItems", i."installationItems" FROM (
       SELECT CAST(l_orderkey AS VARCHAR) AS sku, string_agg(CAST(l_partkey AS VARCHAR), ';'
         ORDER BY CAST(l_partkey AS VARCHAR)) AS "relatedItems" FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r
     FULL JOIN (
       SELECT CAST(l_orderkey AS VARCHAR) AS sku, string_agg(CAST(l_partkey AS VARCHAR), ';'
         ORDER BY CAST(l_partkey AS VARCHAR)) AS "installationItems" FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) i
-    ON i.sku = r.sku""",
-)
+    ON i.sku = r.sku"""
+
+
+@query("d08_reference_lists", _REFERENCES)
 def reference_lists(spark: SparkSession, sf: str) -> DataFrame:
     related = I.reference_products(spark, sf, "R", "relatedItems")
     installation = I.reference_products(spark, sf, "N", "installationItems")
@@ -544,19 +537,19 @@ def _slug_sql(level: int) -> str:
     return f"CASE WHEN trim({own}) <> '' THEN replace({own}, ' ', '-') || '/' {skip} ELSE {description} END"
 
 
-@query(
-    "d14_slug_url",
-    f"""WITH {O.PATHS}, nomes AS (
-      SELECT *, CASE WHEN p_type = 'PROMO' THEN ' Açaí "' || p_name || '" 1/2.5 ' ELSE p_name END AS nome FROM paths)
-    SELECT DISTINCT sku, replace(translate(lower('{_BASE_URL}' || {' || '.join(_slug_sql(i) for i in range(1, 5))} ||
+_URLS = f"""nomes AS (
+      SELECT *, CASE WHEN p_type = 'PROMO' THEN ' Açaí "' || p_name || '" 1/2.5 ' ELSE p_name END AS nome FROM paths),
+    urls AS (SELECT DISTINCT sku, replace(translate(lower('{_BASE_URL}' || {' || '.join(_slug_sql(i) for i in range(1, 5))} ||
       CASE WHEN p_type = 'SMALL' THEN 'Antigo-' || sku ELSE
         replace(replace(replace(replace(trim(nome), '"', ''), '/', ''), ' ', '-'), '.', '') || replace(sku, '.', '')
       END), '{K.ACCENTED}', '{K.UNACCENTED}'), '"', '') AS url_catalogo_institucional,
       CASE WHEN p_type = 'SMALL' THEN p_name END AS palavra_chave,
       CASE WHEN p_type = 'SMALL' THEN p_brand END AS produto_relacionado,
       CAST(NULL AS VARCHAR) AS assinatura_arquiteto
-    FROM nomes""",
-)
+    FROM nomes)"""
+
+
+@query("d14_slug_url", f"WITH {O.PATHS}, {_URLS} SELECT * FROM urls")
 def slug_url(spark: SparkSession, sf: str) -> DataFrame:
     dim = hierarchy.hierarchy_dim(I.hierarchy_nodes(spark, sf), I.load_time())
     return publish.institutional_urls(
@@ -564,6 +557,37 @@ def slug_url(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "d13_site_products",
+    f"""WITH {O.WIDE}, {O.PATHS}, {O.PAGES}, {_DOCS}, refs AS ({_REFERENCES}), {_URLS}, loja AS ({_SHOP})
+    SELECT DISTINCT w.sku, coalesce(p_type, tipo) AS tipo_produto, tamanho AS tamanho_produto,
+    CAST(TRY_CAST(preco AS DECIMAL(18,2)) AS DOUBLE) AS preco, retorno AS indicador_retorno,
+    status_exib_site, CAST(w.p_size AS DOUBLE) AS tamanho_erp,
+    CASE WHEN d.sku IS NOT NULL THEN 'documento' END AS tipo_arquivo, "doc-manual", "doc-ficha", "doc-cad",
+    r."relatedItems", r."installationItems", u.url_catalogo_institucional, u.palavra_chave,
+    u.produto_relacionado, u.assinatura_arquiteto, l.url_loja
+    FROM wide w LEFT JOIN docs d ON d.sku = w.sku LEFT JOIN refs r ON r.sku = w.sku
+    LEFT JOIN urls u ON u.sku = w.sku LEFT JOIN loja l ON l.sku = w.sku
+    WHERE lower(trim(status_exib_site)) = 'sim' AND w.sku IN (SELECT sku FROM paths)""",
+)
+def site_products(spark: SparkSession, sf: str) -> DataFrame:
+    """The published site table, from attribute store to urls; decimals shown as doubles."""
+    dim = hierarchy.hierarchy_dim(I.hierarchy_nodes(spark, sf), I.load_time())
+    inputs = site.SiteInputs(
+        eav_tables=_eav_tables(spark, sf),
+        names=I.named_products(spark, sf),
+        documents=I.document_products(spark, sf),
+        related=I.reference_products(spark, sf, "R", "relatedItems"),
+        installation=I.reference_products(spark, sf, "N", "installationItems"),
+        site_links=I.site_links(spark, sf),
+        hierarchy=dim,
+        history=I.url_history(spark, sf),
+        shop=I.shop_skus(spark, sf),
+    )
+    published = site.site_products(inputs, control.spec_rows(_spec(spark)), _DOC_TYPES, _BASE_URL, "url_loja")
+    return published.withColumns({c: F.col(c).cast("double") for c in ("preco", "tamanho_erp")})
+
+
 _REFRESH_KEYS = ["sistema_origem", "tabela_origem", "id_atributo_entrada"]
 
 
@@ -636,8 +660,7 @@ def column_diff(spark: SparkSession, sf: str) -> DataFrame:
 def diff_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Names agree after trimming and lower-casing and balances agree, so neither has a column."""
     left, right, columns = _two_sources(spark, sf)
-    differing = quality.differing_columns(left, right, "sku", columns)
-    return quality.diff_matrix(left, right, "sku", differing)
+    return quality.diff_matrix(left, right, "sku", columns, drop_equal=True)
 
 
 def _side_sql(column: str) -> str:
@@ -716,50 +739,65 @@ def attr_classes(spark: SparkSession, sf: str) -> DataFrame:
     return control.attribute_classes(I.part_input_filter(spark, sf), I.part_catalogue(spark, sf))
 
 
-@query(
-    "d22_invalid_numbers",
-    f"""WITH {O.RAW} SELECT DISTINCT brand, sku, lower(trim(id)) AS id_atributo_entrada, value AS valor
+_INVALID = """SELECT DISTINCT brand, sku, lower(trim(id)) AS id_atributo_entrada, value AS valor
     FROM raw WHERE brand IS NOT NULL AND lower(trim(id)) IN ('preco', 'inativo', 'p_size')
-    AND TRY_CAST(value AS DECIMAL(10,0)) IS NULL""",
-)
-def invalid_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    numbers = control.class_ids(I.input_filter(spark), I.catalogue(spark), "number")
-    return quality.invalid_numbers(I.products(spark, sf), numbers)
-
-
-@query(
-    "d22_blank_names",
-    f"""WITH {O.RAW}, {O.PAGES}, achados AS (
-      SELECT sku, brand, nome, lang, type_id, page_id, 'documents' AS tipo FROM pg
-      UNION ALL SELECT sku, brand, nome, lang, type_id, page_id, 'images' FROM pg)
-    SELECT DISTINCT 'nome_vazio' AS regra, 'golden_record.attributes' AS origem, brand AS marca,
+    AND TRY_CAST(value AS DECIMAL(10,0)) IS NULL"""
+_CHECKED = f"""{O.RAW}, {O.PAGES}, achados AS (
+      SELECT sku, brand, nome, lang, page_id, url, 'documents' AS tipo FROM pg
+      UNION ALL SELECT sku, brand, nome, lang, page_id, url, 'images' FROM pg)"""
+_BLANK_NAMES = """SELECT DISTINCT 'nome_vazio' AS regra, 'golden_record.attributes' AS origem, brand AS marca,
       CAST(NULL AS VARCHAR) AS sku, lower(trim(id)) AS id, name AS valor
     FROM raw WHERE brand IS NOT NULL AND coalesce(trim(name), '') = '' AND lower(id) = 'tamanho'
     UNION ALL
     SELECT 'nome_vazio', 'golden_record.' || tipo, brand, sku, 'd' || page_id, nome FROM achados WHERE nome = ''
     UNION ALL
     SELECT 'nome_vazio', 'golden_record.' || tipo || '.attributes', brand, sku, 'asset.lang', NULL
-    FROM achados WHERE lang = 'fr'""",
-)
+    FROM achados WHERE lang = 'fr'"""
+_BLANK_URLS = """SELECT 'url_vazia' AS regra, 'golden_record.' || tipo AS origem, brand AS marca, sku,
+      'd' || page_id AS id, url AS valor FROM achados
+    WHERE (brand IS NOT NULL AND url IS NULL) OR trim(url) = ''"""
+
+
+def _class_ids(spark: SparkSession, name: str) -> DataFrame:
+    return control.class_ids(I.input_filter(spark), I.catalogue(spark), name)
+
+
+@query("d22_invalid_numbers", f"WITH {O.RAW} {_INVALID}")
+def invalid_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.invalid_numbers(I.products(spark, sf), _class_ids(spark, "number"))
+
+
+@query("d22_blank_names", f"WITH {_CHECKED} {_BLANK_NAMES}")
 def blank_names(spark: SparkSession, sf: str) -> DataFrame:
-    records = control.class_ids(I.input_filter(spark), I.catalogue(spark), "golden_record")
     return quality.blank_names(
-        I.products(spark, sf), records, I.document_products(spark, sf), I.image_products(spark, sf)
+        I.products(spark, sf),
+        _class_ids(spark, "golden_record"),
+        I.document_products(spark, sf),
+        I.image_products(spark, sf),
     )
 
 
-@query(
-    "d22_blank_urls",
-    f"""WITH {O.PAGES}, vazias AS (
-      SELECT sku, brand, page_id, url FROM pg WHERE (brand IS NOT NULL AND url IS NULL) OR trim(url) = '')
-    SELECT DISTINCT 'url_vazia' AS regra, 'golden_record.documents' AS origem, brand AS marca, sku,
-      'd' || page_id AS id, url AS valor FROM vazias
-    UNION ALL SELECT 'url_vazia', 'golden_record.images', brand, sku, 'd' || page_id, url FROM vazias""",
-)
+@query("d22_blank_urls", f"WITH {_CHECKED} {_BLANK_URLS}")
 def blank_urls(spark: SparkSession, sf: str) -> DataFrame:
     return quality.blank_urls(I.document_products(spark, sf), I.image_products(spark, sf))
 
 
+@query(
+    "d22_findings",
+    f"""WITH {_CHECKED} {_BLANK_NAMES} UNION ALL {_BLANK_URLS} UNION ALL
+    SELECT 'numero_invalido', 'golden_record.attributes', brand, sku, id_atributo_entrada, valor FROM ({_INVALID})""",
+)
+def findings(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules at once; each source is read once per shape of its rules."""
+    return quality.findings(
+        I.products(spark, sf),
+        _class_ids(spark, "golden_record"),
+        _class_ids(spark, "number"),
+        I.document_products(spark, sf),
+        I.image_products(spark, sf),
+    )
+
+
 @query(
     "d23_url_health",
     f"""WITH {O.PAGES}, alvos AS (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuloom.constants import NOT_FOUND_PHRASE, PARENT_REFERENCE_SUFFIX
 from skuloom.session import small_rows
 from skuloom.sources.schemas import ATTRIBUTE_CATALOGUE, OUTPUT_FILTER
 
@@ -355,6 +356,22 @@ def url_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shop_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shop entries of every part by parent reference; promoted parts have two urls."""
+    parts = table(spark, sf_dir, "part")
+    key = text("p_partkey")
+
+    def entries(rows: DataFrame, version: str) -> DataFrame:
+        url = F.concat(F.lit(f"https://loja.example/{version}/"), key)
+        return rows.select(
+            F.concat(F.lit(" "), key, F.lit(PARENT_REFERENCE_SUFFIX)).alias("ProductRefId"),
+            F.when(F.col("p_size") != 7, url).alias("DetailUrl"),
+        )
+
+    promoted = parts.where(F.col("p_type") == "PROMO")
+    return entries(parts, "v1").unionByName(entries(promoted, "v2"))
+
+
 # --- assets, references, ERP ------------------------------------------------------------------
 
 
@@ -419,8 +436,6 @@ def page_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crawl_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl of all page urls: some missing, some unreachable, some empty shop pages."""
-    from skuloom.constants import NOT_FOUND_PHRASE
-
     url = F.col("url")
     status = F.when(url.like("%#top"), -1).when(url.like("%ref=x"), 503).when(url.like("%.html"), 404)
     body = F.when(url.like("%utm_source%"), F.concat("html", F.lit(NOT_FOUND_PHRASE)))

@@ -21,18 +21,20 @@ def test_column_diff(make):
     assert {tuple(r) for r in Q.column_diff(left, right, "sku", columns).collect()} == {
         ("1", "b", None, ""), ("2", "a", None, "new"), ("2", "b", "v", "w"), ("4", "a", "-1", None),
     }
-    assert Q.differing_columns(left, right, "sku", columns) == ["a", "b"]
 
 
 def test_diff_of_a_table_with_itself_is_empty(make):
     left, _, columns = two(make)
     assert Q.column_diff(left, left, "sku", columns).count() == 0
-    assert Q.differing_columns(left, left, "sku", columns) == []
+    assert Q.diff_matrix(left, left, "sku", columns, drop_equal=True).columns == ["sku"]
 
 
 def test_diff_matrix(make):
-    left, right, _ = two(make)
-    matrix = Q.diff_matrix(left, right, "sku", ["a", "b"])
+    left, right, columns = two(make)
+    whole = Q.diff_matrix(left, right, "sku", columns)
+    assert whole.columns[-2:] == ["site_c", "catalogo_c"]
+    matrix = Q.diff_matrix(left, right, "sku", columns, drop_equal=True)
+    assert matrix.count() == whole.count()
     assert matrix.columns == ["sku", "site_a", "catalogo_a", "site_b", "catalogo_b"]
     assert {tuple(r) for r in matrix.collect()} == {
         ("1", "", "", "", ""), ("2", "", "new", "v", "w"), ("4", "-1", "", "", ""),
