@@ -85,6 +85,20 @@ def spec_rows(spec: DataFrame) -> list[tuple[str | None, str, str, str | None]]:
     return [(r.id_atributo_entrada, r.atributo_saida, r.tipo, r.descricao) for r in rows]
 
 
+def rename_map(input_filter: DataFrame) -> dict[str, str]:
+    """Catalogue name of every input id, for renaming columns; refused beyond ``MAX_SPEC_ROWS``."""
+    pairs = (
+        input_filter.where(F.trim("id_atributo_catalogo") != "")
+        .groupBy(norm(F.col("id_atributo_entrada")).alias("entrada"))
+        .agg(F.max(norm(F.col("id_atributo_catalogo"))).alias("catalogo"))
+        .limit(MAX_SPEC_ROWS + 1)
+        .collect()
+    )
+    if len(pairs) > MAX_SPEC_ROWS:
+        raise ValueError(f"more than {MAX_SPEC_ROWS} columns to rename")
+    return {r.entrada: r.catalogo for r in pairs}
+
+
 def attribute_classes(input_filter: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Long list (input id, catalogue id, class) of the attribute classes used by the checks."""
     table, kind = F.col("nome_tabela"), F.col("tipo_dado_atributo")

@@ -83,6 +83,8 @@ def test_active_ids_and_schema_rows(make):
     inputs = make([("s", "t", " COR ", None, "1", None), ("s", "t", "cor", None, "sim", None), ("s", "t", "x", None, "0", None)],
                   schemas.INPUT_FILTER)
     assert [r.id_ativo for r in control.active_ids(inputs).collect()] == ["cor"]
+    named = make([("s", "t", " A ", "X", "0", None), ("s", "t", "b", "", "1", None), ("s", "t", "c", None, "1", None)], schemas.INPUT_FILTER)
+    assert control.rename_map(named) == {"a": "x"}
     rows = control.schema_rows(make([], "A int, `b ` string"), "sis", "tab", load_time())
     assert [(r.sistema_origem, r.tabela_origem, r.id_atributo_entrada, r.ativo) for r in rows.collect()] == [
         ("sis", "tab", "a", "false"), ("sis", "tab", "b", "false"),
