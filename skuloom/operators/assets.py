@@ -76,7 +76,8 @@ def documents_by_type(products: DataFrame, documents: DataFrame, types: list[str
     """Products with one column per document type holding its largest url.
 
     Only documents that carry at least one attribute value count; testing the nested lists is
-    enough, because copies of a url do not change its maximum.
+    enough, because copies of a url do not change its maximum. Rows that differ only in the brand
+    of their documents are merged before the join, while they are narrow.
     """
     assets = documents.select("sku", F.inline("assets.documents"), F.col("brand").alias("marca"))
     filled = assets.where(F.exists("attributes", lambda a: F.size(a["values"]) > 0))
@@ -88,8 +89,8 @@ def documents_by_type(products: DataFrame, documents: DataFrame, types: list[str
         "url",
     )
     keys = ["doc_sku", "marca", "tipo_arquivo"]
-    wide = pivot_max(named, keys, "id_ref", types, ["url"]).drop("marca")
-    return products.join(wide, products["sku"] == wide["doc_sku"], "left").drop("doc_sku").distinct()
+    wide = pivot_max(named, keys, "id_ref", types, ["url"]).drop("marca").distinct()
+    return products.join(wide, products["sku"] == wide["doc_sku"], "left").drop("doc_sku")
 
 
 def image_sizes(images: DataFrame, resize: str = "resize") -> DataFrame:

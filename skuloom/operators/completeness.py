@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuloom import constants as K
@@ -73,10 +73,19 @@ def completeness(
 
 
 def _shares(matrix: DataFrame, groups: list[str]) -> DataFrame:
-    """Counts by fill state and the total of the group; the window sees only the counts."""
-    counts = matrix.groupBy(*groups, "preenchido").agg(F.count(F.lit(1)).alias("contagem"))
-    total = F.sum("contagem").over(Window.partitionBy(*groups))
-    return counts.withColumn("total", total)
+    """Filled and missing counts of each group beside its total, in one aggregation."""
+    states = (K.YES, K.NO)
+    counted = matrix.groupBy(*groups).agg(
+        *[F.count_if(F.col("preenchido") == state).alias(state) for state in states],
+        F.count(F.lit(1)).alias("total"),
+    )
+    rows = F.array(
+        *[F.struct(F.lit(s).alias("preenchido"), F.col(s).alias("contagem")) for s in states]
+    )
+    present = F.filter(rows, lambda row: row["contagem"] > 0)
+    return counted.select(*groups, "total", F.inline(present)).select(
+        *groups, "preenchido", "contagem", "total"
+    )
 
 
 def completeness_share(matrix: DataFrame) -> DataFrame:

@@ -32,14 +32,20 @@ def value_rows(attributes: DataFrame) -> DataFrame:
 def concat_group(
     df: DataFrame, keys: list[str], value: str, separator: str, output: str, unique: bool = False
 ) -> DataFrame:
-    """Values of each group joined into one text in sorted order.
+    """Values of each group joined into one text in sorted order, once each if ``unique``.
 
-    With ``unique`` copies are removed before the shuffle.
+    Equal values are counted first, by key and value: copies collapse before the shuffle, and the
+    distinct values of a hot key are counted in many tasks. Only distinct values are gathered.
     """
-    collect = F.collect_set if unique else F.collect_list
-    return df.groupBy(*keys).agg(collect(value).alias("_valores")).select(
-        *keys, joined(F.col("_valores"), separator).alias(output)
+    counted = df.groupBy(*keys, F.col(value).alias("valor")).agg(F.count(F.lit(1)).cast("int").alias("vezes"))
+    gathered = counted.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("valor", "vezes"))).alias("valores")
     )
+    if unique:
+        texts = F.transform("valores", lambda v: v["valor"])
+    else:
+        texts = F.flatten(F.transform("valores", lambda v: F.array_repeat(v["valor"], v["vezes"])))
+    return gathered.select(*keys, F.concat_ws(separator, texts).alias(output))
 
 
 def eav_build(

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.arrays import deepest, json_path, level
+from skuloom.functions.text import norm
+from skuloom.operators.joins import lookup_join
 
 LEVELS = 5
 
@@ -95,13 +97,13 @@ def site_paths(products: DataFrame, root: str = K.SITE_ROOT_NODE) -> DataFrame:
 
 
 def on_site(products: DataFrame, links: DataFrame, hierarchy: DataFrame) -> DataFrame:
-    """Products whose site flag is on and whose site node has a first and second level."""
-    from skuloom.functions.text import norm
-    from skuloom.operators.joins import lookup_join
+    """Products whose site flag is on and whose site node has a first and second level.
 
+    ``products`` is unique per sku, as the pivot makes it; wide rows are not compared again.
+    """
     nodes = hierarchy.where(
         F.col("nivel1").isNotNull() & F.col("nivel2").isNotNull()
     ).select("hierarquia")
     placed = lookup_join(links.select("sku", "hierarquia"), nodes, ["hierarquia"], "left_semi")
     shown = products.where(norm(F.col(K.SITE_FLAG_ATTRIBUTE)) == K.SITE_FLAG_VALUE)
-    return shown.join(placed.select("sku").distinct(), "sku", "left_semi").distinct()
+    return shown.join(placed.select("sku").distinct(), "sku", "left_semi")

@@ -30,8 +30,11 @@ def _described(column: Column, name: str, comment: str | None) -> Column:
     return column.alias(name, metadata={"comment": comment} if comment else {})
 
 
-def typed_publish(df: DataFrame, spec: Spec) -> DataFrame:
-    """Rename, cast and describe columns as the control tables say; distinct rows.
+def typed_publish(df: DataFrame, spec: Spec, distinct: bool = True) -> DataFrame:
+    """Rename, cast and describe columns as the control tables say.
+
+    Rows are made distinct unless the caller knows that they are; that saves a shuffle of the
+    widest table.
 
     Several inputs of one output fill each other in input-id order, text that does not cast
     becomes null, outputs without input are null, and columns outside the spec stay at the end.
@@ -49,7 +52,8 @@ def typed_publish(df: DataFrame, spec: Spec) -> DataFrame:
         columns.append(_described(value, output, comment))
     outputs = {o.lower() for _, o, _, _ in spec}
     rest = [F.col(f"`{c}`") for k, c in available.items() if k not in used and k not in outputs]
-    return df.select(*columns, *rest).distinct()
+    typed = df.select(*columns, *rest)
+    return typed.distinct() if distinct else typed
 
 
 def empty_table(spark: SparkSession, spec: Spec) -> DataFrame:

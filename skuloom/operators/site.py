@@ -37,6 +37,7 @@ def site_products(
     """Wide products shown on the site with documents, references and urls, typed by the spec.
 
     Every step after the pivot is a join on sku, so the steps share the partitioning of the pivot.
+    Each joined side is distinct already, so the wide rows are never compared as a whole.
     """
     requested = [source for source, *_ in spec if source]
     wide = wide_product(tables.eav_tables, requested)
@@ -47,5 +48,5 @@ def site_products(
         tables.names, tables.site_links, tables.hierarchy, tables.history, base_url
     )
     complete = documented.join(lists, "sku", "left").join(urls, "sku", "left")
-    typed = typed_publish(complete, spec).withColumn(shop_column, F.lit(None).cast("string"))
+    typed = typed_publish(complete, spec, distinct=False).withColumn(shop_column, F.lit(None).cast("string"))
     return update_shop_urls(typed, tables.shop, K.PARENT_REFERENCE_SUFFIX, shop_column)

@@ -348,6 +348,14 @@ def hash_id(spark: SparkSession, sf: str) -> DataFrame:
     return ids.hash_id(parts, ["sku"])
 
 
+@query("w02_id_uniqueness", "SELECT CAST(p_partkey AS VARCHAR) AS sku, 1 AS skus_por_id FROM part")
+def id_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
+    """How many skus share the hash id of each sku."""
+    parts = I.table(spark, sf, "part").select(I.text("p_partkey").alias("sku"))
+    shared = ids.hash_id(parts, ["sku"]).groupBy("id").agg(F.collect_set("sku").alias("skus"))
+    return shared.select(F.explode("skus").alias("sku"), F.size("skus").alias("skus_por_id"))
+
+
 @query(
     "o02_array_sort",
     f"""SELECT {_KEYS_SQL}, array_to_string(list_sort([l_returnflag, l_linestatus,

@@ -110,7 +110,7 @@ def test_image_assets_split_by_unit(make):
 def test_documents_by_type_needs_an_attribute_value(make):
     docs = [asset("d1", "DOC-a", "u1"), asset("d2", "DOC-a", "u2"), asset("d3", "DOC-b", "u3", attributes=())]
     documents = make([(*head("1", "A"), None, (docs,))], S.PRODUCT_DOCUMENTS)
-    products = make([("1", "x"), ("2", "y"), ("2", "y")], "sku string, extra string")
+    products = make([("1", "x"), ("2", "y")], "sku string, extra string")
     wide = assets.documents_by_type(products, documents, ["doc-a", "doc-b"])
     assert {(r.sku, r["doc-a"], r["doc-b"]) for r in wide.collect()} == {("1", "u2", None), ("2", None, None)}
     assert wide.count() == 2
