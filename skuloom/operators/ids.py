@@ -18,7 +18,7 @@ def surrogate_id(df: DataFrame, order: list[str], output: str = "id") -> DataFra
     Rows are range-partitioned and sorted by ``order`` and then by all other columns, so ties are
     settled and equal keys can still be split. The sorted partitions are checkpointed, because
     range bounds are sampled anew on every run. Only one row count per partition reaches the
-    driver, where they become offsets.
+    driver, where they become offsets; that bound makes them safe to broadcast.
     """
     keys = [*order, *[c for c in df.columns if c not in order]]
     sorted_rows = df.distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -34,7 +34,7 @@ def surrogate_id(df: DataFrame, order: list[str], output: str = "id") -> DataFra
     row = F.col("_linha").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         numbered.withColumn("_parte", part)
-        .join(offsets, "_parte")
+        .join(F.broadcast(offsets), "_parte")
         .select(*df.columns, (F.col("_inicio") + row + 1).alias(output))
     )
 

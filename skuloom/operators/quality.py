@@ -188,6 +188,36 @@ def blank_urls(documents: DataFrame, images: DataFrame) -> DataFrame:
     return named.unionByName(asset_findings(images, "images").where(F.col("regra") == BLANK_URL))
 
 
+def attribute_findings(
+    products: DataFrame, record_ids: DataFrame, number_ids: DataFrame
+) -> DataFrame:
+    """Nameless attributes and invalid numbers in one pass over the attributes."""
+    record = record_ids.withColumns({"_nome": F.lit(True), "_numero": F.lit(False)})
+    number = number_ids.withColumns({"_nome": F.lit(False), "_numero": F.lit(True)})
+    rules = record.unionByName(number).groupBy("id_atributo_entrada").agg(
+        F.bool_or("_nome").alias("_nome"), F.bool_or("_numero").alias("_numero")
+    )
+    checked = lookup_join(
+        _with_id(attribute_rows(products)), rules, ["id_atributo_entrada"], "inner"
+    )
+
+    def finding(rule: str, sku: Column, value: Column) -> Column:
+        place, identifier = F.lit("golden_record.attributes"), F.col("id_atributo_entrada")
+        texts = [F.lit(rule), place, F.col("brand"), sku, identifier, value]
+        return F.struct(*[t.alias(n) for t, n in zip(texts, FINDING)])
+
+    nowhere = F.lit(None).cast("string")
+    nameless = F.when(
+        F.col("_nome") & is_blank(F.col("name")), F.array(finding(BLANK_NAME, nowhere, F.col("name")))
+    )
+    invalid = F.filter(
+        "values", lambda v: F.col("_numero") & v["value"].try_cast("decimal(10,0)").isNull()
+    )
+    numbers = F.transform(invalid, lambda v: finding(INVALID_NUMBER, F.col("sku"), v["value"]))
+    both = F.concat(F.coalesce(nameless, F.array()), F.coalesce(numbers, F.array()))
+    return checked.select(F.inline(both)).distinct()
+
+
 def findings(
     products: DataFrame,
     record_ids: DataFrame,
@@ -195,27 +225,14 @@ def findings(
     documents: DataFrame,
     images: DataFrame,
 ) -> DataFrame:
-    """All findings of all rules; each asset source is read once for all its rules."""
+    """All findings of all rules; each of the three sources is read once."""
     return (
-        attribute_name_findings(products, record_ids)
-        .unionByName(number_findings(products, number_ids))
+        attribute_findings(products, record_ids, number_ids)
         .unionByName(asset_findings(documents, "documents"))
         .unionByName(asset_findings(images, "images"))
     )
 
 
-def number_findings(products: DataFrame, number_ids: DataFrame) -> DataFrame:
-    """Invalid numbers in the shape of the findings table."""
-    return invalid_numbers(products, number_ids).select(
-        F.lit(INVALID_NUMBER).alias("regra"),
-        F.lit("golden_record.attributes").alias("origem"),
-        F.col("brand").alias("marca"),
-        "sku",
-        F.col("id_atributo_entrada").alias("id"),
-        "valor",
-    )
-
-
 def asset_urls(products: DataFrame, kind: str) -> DataFrame:
     """(origin, sku, url) of the assets of branded products."""
     return (

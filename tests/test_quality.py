@@ -59,8 +59,12 @@ def test_invalid_numbers(make):
     ids = make([("peso",)], "id_atributo_entrada string")
     found = Q.invalid_numbers(make(rows, S.PRODUCT_ATTRIBUTES), ids)
     assert {(r.sku, r.valor) for r in found.collect()} == {("1", "x"), ("2", "12345678901"), ("2", None), ("2", "")}
-    findings = Q.number_findings(make(rows, S.PRODUCT_ATTRIBUTES), ids)
-    assert findings.columns == Q.FINDING and findings.count() == 4
+    none = make([], "id_atributo_entrada string")
+    findings = Q.attribute_findings(make(rows, S.PRODUCT_ATTRIBUTES), none, ids)
+    assert findings.columns == Q.FINDING
+    assert {(r.regra, r.sku, r.id, r.valor) for r in findings.collect()} == {
+        (Q.INVALID_NUMBER, r.sku, "peso", r.valor) for r in found.collect()
+    }
 
 
 def asset(identifier, name, url, attributes):
@@ -85,6 +89,9 @@ def test_blank_names_and_urls(make):
         ("golden_record.documents", "1", "d1"), ("golden_record.documents.attributes", "1", "asset.a"),
         ("golden_record.images", "1", "d1"), ("golden_record.images.attributes", "1", "asset.a"),
     ]
+    cor, nothing = make([("cor",)], "id_atributo_entrada string"), make([], "id_atributo_entrada string")
+    everything = Q.findings(products, cor, nothing, documents, images)
+    assert everything.where(F.col("regra") == Q.BLANK_NAME).count() == names.count()
     urls = sorted((r.origem, r.sku, r.id) for r in Q.blank_urls(documents, images).collect())
     doc_urls = [("golden_record.documents", s, i) for s, i in (("1", "d2"), ("2", "d4"), ("3", "d5"))]
     image_urls = [("golden_record.images", s, i) for s, i in (("1", "d2"), ("2", "d4"), ("3", "d5"), ("3", "d5"))]
