@@ -52,9 +52,12 @@ def strip_brackets(column: Column) -> Column:
 
 
 def encode_url(column: Column) -> Column:
-    """Percent-encode a URL path: spaces become ``%20`` and slashes survive."""
-    encoded = F.replace(F.url_encode(column), F.lit("+"), F.lit("%20"))
-    return F.replace(encoded, F.lit("%2F"), F.lit("/"))
+    """Percent-encode a URL path; letters, digits, ``_.-~`` and slashes stay as they are."""
+    encoded = F.url_encode(column)
+    # What form encoding writes differently from path encoding.
+    for form, path in (("+", "%20"), ("%2F", "/"), ("*", "%2A"), ("%7E", "~")):
+        encoded = F.replace(encoded, F.lit(form), F.lit(path))
+    return encoded
 
 
 def decimal_comma(column: Column) -> Column:

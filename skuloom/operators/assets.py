@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.text import strip_brackets
+from skuloom.operators.control import keep_active
 from skuloom.operators.pivots import pivot_max
-from skuloom.sources.control import keep_active
 
 
 def _after_dash(column: Column) -> Column:

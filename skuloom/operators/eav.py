@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.text import is_blank, joined, with_unit
 from skuloom.functions.types import STORED_AS, columns_by_family, family_of
+from skuloom.operators.control import keep_active
 from skuloom.operators.pivots import pivot_max
-from skuloom.sources.control import keep_active
 from skuloom.sources.tables import union_tables
 
 MAX_UNIT_ATTRIBUTES = 10_000

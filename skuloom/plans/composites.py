@@ -10,6 +10,7 @@ from skuloom.operators import (
     assets,
     classification,
     completeness,
+    control,
     eav,
     hierarchy,
     publish,
@@ -22,7 +23,7 @@ from skuloom.plans import inputs as I
 from skuloom.plans import oracle as O
 from skuloom.plans.registry import query
 from skuloom.session import new_dir
-from skuloom.sources import control, documents, tables
+from skuloom.sources import documents, tables
 
 ORIGIN = "catalogo"
 

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions import arrays, text
-from skuloom.operators import eav, ids, joins, publish
+from skuloom.operators import control, eav, ids, joins, publish
 from skuloom.plans import inputs as I
 from skuloom.plans import oracle as O
 from skuloom.plans.registry import query
-from skuloom.sources import control
 
 
 @query(
@@ -123,7 +122,7 @@ def posexplode_outer(spark: SparkSession, sf: str) -> DataFrame:
     regexp_replace(p_name, '[aeiou]', '*', 'g') AS mascarado,
     split_part(p_brand, '#', 2) AS segunda_parte,
     CASE WHEN p_size > 9 THEN split_part(p_name, ' ', 2) END AS pedaco,
-    left(p_type, 3) AS prefixo, CAST(length(p_name) AS BIGINT) AS tamanho
+    replace(url_encode(p_brand || '/ç ' || p_name), '%2F', '/') AS codificado, left(p_type, 3) AS prefixo, CAST(length(p_name) AS BIGINT) AS tamanho
     FROM part""",
 )
 def string_scalars(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,6 +142,7 @@ def string_scalars(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_replace("p_name", "[aeiou]", "*").alias("mascarado"),
         F.split_part("p_brand", F.lit("#"), F.lit(2)).alias("segunda_parte"),
         F.get(F.split(dashed, " "), F.lit(1)).alias("pedaco"),
+        text.encode_url(F.concat("p_brand", F.lit("/ç "), "p_name")).alias("codificado"),
         F.left("p_type", F.lit(3)).alias("prefixo"),
         F.length("p_name").cast("bigint").alias("tamanho"),
     )

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from skuloom.operators import classification as C
-from skuloom.operators import publish
+from skuloom.operators import control, publish
 from skuloom.plans.inputs import load_time
-from skuloom.sources import control, schemas
+from skuloom.sources import schemas
 
 
 @pytest.fixture

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from skuloom import session
+from skuloom.operators import control
 from skuloom.plans.inputs import load_time
-from skuloom.sources import control, documents, relational, schemas, tables
+from skuloom.sources import control as sheets
+from skuloom.sources import documents, relational, schemas, tables
 
 
 def test_shared_dir_comes_from_the_session(spark):
@@ -73,10 +75,12 @@ def test_jdbc_options():
 def test_control_table_by_name(spark, tmp_path):
     path = tmp_path / "c.csv"
     path.write_text("sistema_destino,id_atributo_catalogo,id_atributo_saida,ativo\nsite,a,,1\n")
-    row = control.load_control_table(spark, str(path), "filtro_saida").first()
+    row = sheets.load_control_table(spark, str(path), "filtro_saida").first()
     assert (row.sistema_destino, row.id_atributo_saida, row.ativo) == ("site", None, "1")
+    stored = sheets.refresh_control_table(spark, str(path), "filtro_saida", str(tmp_path / "control"))
+    assert tables.read_table(spark, stored).count() == 1
     with pytest.raises(ValueError):
-        control.load_control_table(spark, str(path), "outra")
+        sheets.load_control_table(spark, str(path), "outra")
 
 
 def test_active_ids_and_schema_rows(make):
