@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuloom import constants as K
-from skuloom.functions.text import blank_fill, is_blank, norm
+from skuloom.functions.text import blank_fill, encode_url, is_blank, norm
 from skuloom.operators.eav import attribute_rows, value_rows
 from skuloom.operators.joins import lookup_join
 from skuloom.session import materialise
@@ -242,10 +242,18 @@ def asset_urls(products: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def url_targets(documents: DataFrame, images: DataFrame, products: DataFrame, url: str) -> DataFrame:
-    """Distinct (origin, sku, url) of documents, images and product pages."""
+def url_targets(
+    documents: DataFrame, images: DataFrame, products: DataFrame, url: str, prefix: str | None = None
+) -> DataFrame:
+    """Distinct (origin, sku, url) of documents, images and product pages.
+
+    With ``prefix`` the product column holds a path, which is encoded and put after it.
+    """
+    address = F.trim(url)
+    if prefix is not None:
+        address = F.concat(F.lit(prefix), encode_url(address))
     pages = products.where(F.col(url).isNotNull()).select(
-        F.lit("produto").alias("origem"), "sku", F.trim(url).alias("url")
+        F.lit("produto").alias("origem"), "sku", address.alias("url")
     )
     return (
         asset_urls(documents, "documents")

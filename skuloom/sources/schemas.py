@@ -28,6 +28,17 @@ PRODUCT_PRIMARY = f"{_HEAD}, keys {_KEYS}, hierarchies struct<primary:array<stri
 PRODUCT_MARKETING = f"{_HEAD}, keys {_KEYS}, hierarchies struct<secondaries:struct<marketing:{_PATHS}>>"
 PRODUCT_WEBSITE = f"{_HEAD}, keys {_KEYS}, hierarchies struct<secondaries:struct<website:{_PATHS}>>"
 PRODUCT_SITE = f"{_HEAD}, keys {_KEYS}, hierarchies struct<secondaries:struct<site:{_PATHS}>>"
+
+
+def asset_check_fields(kind: str) -> str:
+    """The fields that the asset checks need, for reading a stored asset table narrowly."""
+    attributes = "attributes:array<struct<id:string,name:string>>"
+    return (
+        f"sku string, brand string, "
+        f"assets struct<{kind}:array<struct<id:string,name:string,url:string,{attributes}>>>"
+    )
+
+
 ATTRIBUTE_COLLECTION = (
     "id string, type string, brands array<string>, domains array<string>, status string, "
     "values array<string>"

@@ -11,9 +11,16 @@ from skuloom.functions.text import norm
 from skuloom.session import new_dir
 
 
-def read_table(spark: SparkSession, path: str, evolve: bool = False) -> DataFrame:
-    """Parquet folder; ``evolve`` merges the schemas of all its files."""
-    return spark.read.option("mergeSchema", evolve).parquet(path)
+def read_table(
+    spark: SparkSession, path: str, evolve: bool = False, schema: str | None = None
+) -> DataFrame:
+    """Parquet folder; ``evolve`` merges the schemas of all its files.
+
+    A narrower ``schema`` reads only the nested fields it names: expanding an array of structs
+    would otherwise read every field of the struct.
+    """
+    reader = spark.read.option("mergeSchema", evolve)
+    return (reader.schema(schema) if schema else reader).parquet(path)
 
 
 def overwrite_table(df: DataFrame, path: str) -> str:

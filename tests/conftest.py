@@ -20,6 +20,7 @@ def spark() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -6,6 +6,7 @@ from skuloom.constants import NOT_FOUND_PHRASE
 from skuloom.operators import completeness as C
 from skuloom.operators import quality as Q
 from skuloom.sources import schemas as S
+from skuloom.sources import tables
 
 SOURCE = "sku string, a string, b string, c string"
 
@@ -98,6 +99,25 @@ def test_blank_names_and_urls(make):
     assert urls == doc_urls + image_urls
 
 
+def test_asset_checks_read_only_their_fields(spark, make, tmp_path):
+    nameless = [("a", None, [("v", None)])]
+    docs = [("1", "P", "A", None, None, None, ([asset("d1", "", None, nameless)],))]
+    whole = make(docs, S.PRODUCT_DOCUMENTS)
+    path = tables.overwrite_table(whole, str(tmp_path / "docs"))
+    narrow = Q.asset_findings(tables.read_table(spark, path, schema=S.asset_check_fields("documents")), "documents")
+    scan = next(line for line in narrow._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line)
+    assert "attributes:array<struct<id:string,name:string>>" in scan and "values" not in scan
+    assert sorted(narrow.collect()) == sorted(Q.asset_findings(whole, "documents").collect())
+    assert narrow.count() == 3
+
+
+def test_url_targets_with_a_site_prefix(make):
+    nothing = make([], S.PRODUCT_DOCUMENTS), make([], S.PRODUCT_IMAGES)
+    pages = make([("1", " a b/ç "), ("2", None), ("1", "a b/ç")], "sku string, caminho string")
+    got = Q.url_targets(*nothing, pages, "caminho", prefix="https://s/")
+    assert [tuple(r) for r in got.collect()] == [("produto", "1", "https://s/a%20b/%C3%A7")]
+
+
 def test_url_health(make):
     crawl = make([("ok", 200, "fine"), ("lost", 404, None), ("down", -1, None), ("soft", 200, f"<p>{NOT_FOUND_PHRASE}</p>"),
                   ("redirect", 301, ""), ("odd", 100, ""), ("unused", 500, "")], "url string, status int, body string")
