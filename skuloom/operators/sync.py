@@ -6,6 +6,9 @@ changes) and the caller writes it as a new version.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +28,20 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _match(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join with each side's row as a struct: ``alvo`` and ``novo``."""
-    left = target.select(*keys, F.struct(*target.columns).alias("alvo"))
-    right = one_per_key(source, keys).select(*keys, F.struct(*source.columns).alias("novo"))
-    return left.join(right, keys, "full_outer")
+    """Full outer join with each side's row as a struct: ``alvo`` and ``novo``.
+
+    Full keys are unique: by contract in the target, by reduction in the source. Rows without a
+    full key match nothing and are all kept; they get the number of their task as an extra key,
+    so that they do not meet in one task.
+    """
+    spread, whole = "_tarefa", "_sem_chave"
+    incomplete = reduce(or_, [F.col(k).isNull() for k in keys])
+    task = F.when(incomplete, F.spark_partition_id()).otherwise(F.lit(-1)).alias(spread)
+    left = target.select(*keys, task, F.struct(*target.columns).alias("alvo"))
+    keyless = source.withColumn(whole, F.when(incomplete, F.struct(*source.columns)))
+    fresh = one_per_key(keyless, [*keys, whole])
+    right = fresh.select(*keys, task, F.struct(*source.columns).alias("novo"))
+    return left.join(right, [*keys, spread], "full_outer").drop(spread)
 
 
 def upsert_all(

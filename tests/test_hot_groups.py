@@ -146,3 +146,19 @@ def test_upsert_with_copied_updates(mode, spark, make):
     expected = {f"k{i}": "old" for i in range(100)} | {k: "new" for k in touched}
     assert {r.k: r.v for r in merged.collect()} == expected
     assert merged.count() == len(expected) == merged.select(F.countDistinct("k")).first()[0]
+
+
+def test_upsert_into_rows_without_a_key(mode, spark, make):
+    """A third of the target has no key: those rows stay, unmatched and spread over tasks."""
+    rows = [(None if i % 3 == 0 else f"k{i}", i) for i in range(N)]
+    target = make(rows, "k string, v int").repartition(8)
+    updates = make([(None, -1), (None, -1), (None, -2), ("k1", -1), ("new", -1)], "k string, v int")
+    merged = sync.upsert_all(target, updates, ["k"])
+    expected = Counter((k, -1 if k == "k1" else v) for k, v in rows) + Counter([(None, -1), (None, -2), ("new", -1)])
+    assert Counter(map(tuple, merged.collect())) == expected
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        empty = merged.where("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(empty) > 2
