@@ -6,6 +6,7 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from skuloom.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 FORBIDDEN = (
@@ -28,7 +29,7 @@ def plan_of(df) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = driver.queries()[name](spark, SF_DIR)
     assert len(set(df.columns)) == len(df.columns)
