@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from skuloom.llm.bpe import round_trip, token_counts
 from skuloom.llm.exact_dedup import exact_groups
 from skuloom.llm.sharding import shard_documents
 
@@ -49,6 +51,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def bpe_file() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query("op3_bpe_round_trip")
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), bpe_file())
+
+
+@_query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), bpe_file(), limit=512)
+
+
 @_query("op9_jump_sharding")
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=8)
