@@ -79,6 +79,10 @@ class Vocabulary:
         for piece in self.id_of:
             head = piece[:2]
             self.longest[head] = max(self.longest.get(head, 0), len(piece))
+        self.longest_ending: dict[bytes, int] = {}
+        for piece in self.id_of:
+            end = piece[-2:]
+            self.longest_ending[end] = max(self.longest_ending.get(end, 0), len(piece))
         self.splitter = regex.compile(PATTERN)
         self.special_split = (
             regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -268,19 +272,20 @@ class Vocabulary:
         if known is not None:
             return known
         raw = word.encode()
-        n, id_of, fits, longest = len(raw), self.id_of, self.fits, self.longest
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for at in range(n):
-            for stop in range(at + 1, min(n, at + longest.get(raw[at : at + 2], 1)) + 1):
-                token = id_of.get(raw[at:stop])
-                if token is not None:
-                    ending[stop].append((at, token))
+        n, id_of, fits, ending = len(raw), self.id_of, self._fits, self.longest_ending
         last, count = [-1] * (n + 1), [0] * (n + 1)
         for stop in range(1, n + 1):
-            for at, token in ending[stop]:
-                if at == 0 or fits(last[at], token):
-                    last[stop], count[stop] = token, count[at] + 1
-                    break
+            for at in range(max(0, stop - ending.get(raw[max(0, stop - 2) : stop], 1)), stop):
+                token = id_of.get(raw[at:stop])
+                if token is None:
+                    continue
+                if at:
+                    before = last[at]
+                    good = fits.get((before, token))
+                    if not (self.fits(before, token) if good is None else good):
+                        continue
+                last[stop], count[stop] = token, count[at] + 1
+                break
         result = bytes(count) if n < 256 else count
         if n <= _LONG_WORD:
             if len(self._counts) >= REMEMBERED:
@@ -337,8 +342,31 @@ class Vocabulary:
         return np.concatenate(out)
 
     def longest_prefix(self, text: str, budget: int) -> int:
-        """Characters of the longest prefix of at most ``budget`` tokens."""
-        return int(np.flatnonzero(self.prefix_counts(text) <= budget)[-1])
+        """Characters of the longest prefix of at most ``budget`` tokens.
+
+        Counts before whole words only grow, so the end lies near the word that passes the budget;
+        only the prefixes around it are looked up.
+        """
+        at, base, seen = 0, 0, []
+        for segment, special in self.segments(text):
+            for word in [segment] if special is not None else self.splitter.findall(segment):
+                seen.append((at, base))
+                at += len(word)
+                base += 1 if special is not None else self.byte_counts(word)[-1]
+                if base > budget:
+                    break
+            if base > budget:
+                break
+        else:
+            return len(text)
+        k = max(0, len(seen) - 3)
+        while k and text[seen[k][0] - 1].isspace():
+            k -= 1
+        start, before = seen[k]
+        # a run of blanks is two words at most; a special string may follow
+        stop = at + sum(len(w) for w in self.splitter.findall(text[at : at + 4096])[:2])
+        counts = before + self.prefix_counts(text[start:stop])
+        return start + int(np.flatnonzero(counts <= budget)[-1])
 
 
 @lru_cache(maxsize=2)
@@ -417,7 +445,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
             texts = batch.column(1).to_pylist()
             n = [words.count(t) for t in texts]
             fit = [
-                len(t) if k <= limit else words.longest_prefix(_head(t, limit), limit)
+                len(t) if k <= limit else words.longest_prefix(t, limit)
                 for t, k in zip(texts, n, strict=True)
             ]
             size = [len(t.encode()) for t in texts]
@@ -426,13 +454,6 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
                 ["doc_id", "n_bytes", "n_tokens", "fit_chars"],
             )
 
-    def _head(text: str, limit: int) -> str:
-        """Start of a text that surely holds the longest fitting prefix: counts only grow by words."""
-        words, step = vocabulary(path), 8 * limit
-        while step < len(text) and words.count(text[:step]) <= 2 * limit + 64:
-            step *= 2
-        return text[:step]
-
     kind = docs.schema["doc_id"].dataType.simpleString()
     counted = _rows(docs).mapInArrow(
         run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, fit_chars bigint"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skuloom.session import new_dir
@@ -81,14 +81,14 @@ def salted_join(
     return spread.join(repeated, [*keys, salt], how).drop(salt)
 
 
-def running_starts(df: DataFrame, group: list[str], block: str, order: list[str], rows: str):
-    """``start``: rows of the same group before this one, in the order of block, then ``order``.
+def running_starts(
+    df: DataFrame, group: list[str], block: str, order: list[str], rows: str, name: str = "first"
+) -> DataFrame:
+    """Column ``name``: rows of the same group before this one, in the order of block, then ``order``.
 
     ``rows`` says how many rows each line stands for. A group may be any share of the data: it is
     numbered block by block, and only one count per group and block is summed up across blocks.
     """
-    from pyspark.sql import Window
-
     per_block = df.groupBy(*group, block).agg(F.sum(rows).alias("_rows"))
     before = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select(
@@ -102,6 +102,6 @@ def running_starts(df: DataFrame, group: list[str], block: str, order: list[str]
     numbered = df.withColumn("_within", F.coalesce(F.sum(rows).over(inside), F.lit(0)))
     return (
         numbered.join(offsets, [*group, block])
-        .withColumn("start", F.col("_within") + F.col("_offset"))
+        .withColumn(name, F.col("_within") + F.col("_offset"))
         .drop("_within", "_offset")
     )

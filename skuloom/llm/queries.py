@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skuloom.llm.bpe import round_trip, token_counts
 from skuloom.llm.exact_dedup import exact_groups
+from skuloom.llm.packing import pack_documents
+from skuloom.llm.quality_rules import quality_verdicts
 from skuloom.llm.sharding import shard_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +48,11 @@ WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+@_query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(documents(spark, sf_dir))
+
+
 @_query("op2_exact_dedup", _EXACT_SQL)
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
@@ -68,3 +75,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_jump_sharding")
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=8)
+
+
+@_query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), bpe_file(), size=2048)

@@ -99,7 +99,7 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     )
     rows = stored(rows, "shards")
     placed = running_starts(rows, ["shard"], "block", ["doc_id", "size", "text_crc32"], "copies")
-    slot = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("copies") - 1))
+    slot = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1))
     return placed.select(
         "doc_id",
         "size",
