@@ -158,12 +158,10 @@ def pack_documents(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
         table = places.value
         key = table["length"] << 44 | table["rank"]
         for batch in batches:
-            length, at = (
-                batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("length", "rank")
-            )
+            length, at = batch.column(0).to_numpy(), batch.column(5).to_numpy()
             sequence, offset = at.copy(), np.zeros(len(at), np.int64)
             rest = length < size
-                spot = np.searchsorted(key, length[rest] << 44 | at[rest], side="right") - 1
+            spot = np.searchsorted(key, length[rest] << 44 | at[rest], side="right") - 1
             sequence[rest] = table["sequence"][spot] + at[rest] - table["rank"][spot]
             offset[rest] = table["offset"][spot]
             yield pa.RecordBatch.from_arrays(

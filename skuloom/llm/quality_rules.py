@@ -190,9 +190,15 @@ def quality_verdicts(docs: DataFrame, limits: LineLimits | None = None) -> DataF
                 failed.append(words < 20 or 100 * repeats > 30 * words)
                 kept.append(not failed[-1] and not _depleted(words, rest, limits))
                 left.append(rest)
-            arrays = [pa.array(x, pa.int64()) for x in zip(*counts, strict=True)]
+            table = np.array(counts, np.int64).reshape(-1, len(names))
+            arrays = [pa.array(column) for column in table.T.copy()]
+            verdicts = [
+                pa.array(failed, pa.bool_()),
+                pa.array(kept, pa.bool_()),
+                pa.array(left, pa.int64()),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *arrays, pa.array(failed), pa.array(kept), pa.array(left)],
+                [batch.column(0), *arrays, *verdicts],
                 ["doc_id", *names, "base_failed", "kept", "n_words_left"],
             )
 
