@@ -24,7 +24,7 @@ from skuloom.llm.common import reach_workers, text_of
 #: Pattern that splits text into words (fixed value of the vocabulary's byte-level splitter).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words remembered per worker; beyond that the memory starts afresh, results do not change.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 #: Longer words are counted all the same, but not remembered.
 _LONG_WORD = 200
 _NEVER = np.int64(1) << 40
