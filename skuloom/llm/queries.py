@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from skuloom.llm.bpe import round_trip, token_counts
 from skuloom.llm.exact_dedup import exact_groups
 from skuloom.llm.packing import pack_documents
+from skuloom.llm.quality_model import quality_scores
 from skuloom.llm.quality_rules import quality_verdicts
 from skuloom.llm.sharding import shard_documents
+from skuloom.llm.suffix_dedup import suffix_dedup
+from skuloom.llm.toxicity import toxicity_scores
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -32,6 +35,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 _EXACT_SQL = r"""
 WITH digests AS (
   SELECT doc_id,
@@ -67,11 +74,26 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), bpe_file())
 
 
+@_query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir), length=100)
+
+
+@_query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir), limit=0.5)
+
+
 @_query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), bpe_file(), limit=512)
 
 
+@_query("op8_quality_model")
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), labels(spark, sf_dir), limit=0.3)
+
+
 @_query("op9_jump_sharding")
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=8)
