@@ -4,21 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skuloom.llm.exact_dedup import drop_copies
+from skuloom.llm.order_minhash import drop_near_duplicates
+from skuloom.llm.packing import pack_documents
+from skuloom.llm.quality_rules import clean_documents
+from skuloom.llm.suffix_dedup import remove_repeats
 from skuloom.session import new_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go, and from the others the lines that too many documents share."""
+    return clean_documents(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return drop_near_duplicates(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that occur earlier are cut out; every document stays."""
+    return remove_repeats(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in sequences of 2048 tokens."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("packing", packing),
 ]
 
 #: SQL cannot express edit-distance classes, suffix coverage and packing; tests use brute force.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skuloom.llm.bpe import round_trip, token_counts
 from skuloom.llm.exact_dedup import exact_groups
+from skuloom.llm.order_minhash import near_duplicates
 from skuloom.llm.packing import pack_documents
 from skuloom.llm.quality_model import quality_scores
 from skuloom.llm.quality_rules import quality_verdicts
@@ -84,6 +85,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir), limit=0.5)
 
 
+@_query("op6_order_minhash")
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), least=0.8)
+
+
 @_query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), bpe_file(), limit=512)

@@ -1,7 +1,7 @@
 """Removal of repeated byte strings by prefix doubling on sparse positions.
 
-Two equal strings of LENGTH bytes have the same smallest 32-byte piece at the same place, their
-anchor. So only anchors are ranked at first (names of 1, 2, 4, ... 32 bytes by doubling, equal
+Two equal strings of LENGTH bytes have the same smallest 48-byte piece at the same place, their
+anchor. So only anchors are ranked at first (names of 1, 2, 4, ... bytes by doubling, equal
 names brought together by Spark). Starts whose anchor is unique drop out; the others are ranked
 again at the full span that shares the anchor, and only what is still undecided, one by one, at
 LENGTH bytes. The name of a class is its earliest position in the order of documents.
@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import fresh, reach_workers, running_starts, stored, text_of
+from skuloom.llm.common import discard, fresh, reach_workers, running_starts, stored, text_of
 
 LENGTH = 100
-_ANCHOR = 32
+_ANCHOR = 48
 #: Window starts handled at once within a text.
 _STRETCH = 1 << 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -83,6 +83,53 @@ def units(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return np.concatenate(first), np.concatenate(last), np.concatenate(anchors).view(np.int64)
 
 
+def _grouped(sizes: list[int]) -> Iterator[range]:
+    """Consecutive texts of together about _STRETCH bytes."""
+    begin, held = 0, 0
+    for k, size in enumerate(sizes):
+        if held and held + size > _STRETCH:
+            yield range(begin, k)
+            begin, held = k, 0
+        held += size
+    if begin < len(sizes):
+        yield range(begin, len(sizes))
+
+
+def units_of(raws: list[np.ndarray], length: int) -> tuple[np.ndarray, ...]:
+    """Text number, first and last start, anchor of all units of many texts, in order."""
+    found = []
+    for group in _grouped([len(raw) for raw in raws]):
+        if len(group) == 1 or sum(len(raws[k]) for k in group) < length:
+            for k in group:
+                lo, hi, anchor = units(raws[k], length)
+                found.append((np.full(len(lo), k), lo, hi, anchor))
+            continue
+        sizes = np.array([len(raws[k]) for k in group])
+        begin = np.cumsum(sizes) - sizes
+        joined = np.concatenate([raws[k] for k in group])
+        low = np.uint64((1 << 24) - 1)
+        name = names(joined, _ANCHOR)
+        keyed = (name & ~low) | np.arange(len(name), dtype=np.uint64)
+        at = (_least(keyed, length - _ANCHOR + 1) & low).astype(np.int64)
+        owner = np.repeat(np.arange(len(group)), sizes)[: len(at)]
+        start = np.flatnonzero(np.arange(len(at)) + length <= (begin + sizes)[owner])
+        at, owner = at[start], owner[start]
+        new = np.ones(len(start), bool)
+        new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
+        old = np.ones(len(start), bool)
+        old[:-1] = new[1:]
+        text = owner[new]
+        found.append(
+            (
+                text + group.start,
+                start[new] - begin[text],
+                start[old] - begin[text],
+                name[at[new]].view(np.int64),
+            )
+        )
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(4))
+
+
 def _read(df: DataFrame, each: Callable, schema: str) -> DataFrame:
     """Arrow batches of df through ``each``, which turns one batch into columns."""
     reach_workers(df.sparkSession)
@@ -102,40 +149,43 @@ def _raw(text: str) -> np.ndarray:
 
 def _anchors(length: int):
     def each(batch):
-        found, sizes = [], []
-        for text in batch.column(2).to_pylist():
-            raw = _raw(text)
-            sizes.append(len(raw))
-            found.append(units(raw, length)[2])
-        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-        yield batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), lists
+        raws = [_raw(text) for text in batch.column(2).to_pylist()]
+        if raws:
+            text, _, _, anchor = units_of(raws, length)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(raws)))])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(anchor))
+            sizes = pa.array([len(raw) for raw in raws], pa.int64())
+            yield batch.column(0), batch.column(1), sizes, lists
 
     return each
 
 
 def _hulls(length: int):
-    """Rows (base, text, chosen units): the bytes that the strings of each chosen unit span."""
+    """Rows (text, base, chosen units): the bytes that the strings of each chosen unit span."""
 
     def each(batch):
-        for k in range(batch.num_rows):
-            text, base, chosen = (batch.column(i)[k].as_py() for i in range(3))
-            raw = text.encode()
-            first, last, anchor = units(np.frombuffer(raw, np.uint8), length)
-            chosen = np.sort(np.array(chosen, np.int64))
-            lo, hi = first[chosen], last[chosen]
-            hull = [
-                hashlib.blake2b(raw[a : b + length], digest_size=16).digest()
-                for a, b in zip(lo.tolist(), hi.tolist(), strict=True)
-            ]
-            yield (
-                pa.array(np.full(len(lo), base)),
-                pa.array(lo),
-                pa.array(hi),
-                pa.array(anchor[chosen]),
-                pa.array(hull, pa.binary()),
-            )
+        texts, bases, chosen = (batch.column(i).to_pylist() for i in range(3))
+        if not texts:
+            return
+        raws = [_raw(text) for text in texts]
+        owner, first, last, anchor = units_of(raws, length)
+        begin = np.searchsorted(owner, np.arange(len(texts)))
+        spot = np.concatenate(
+            [np.sort(np.array(c, np.int64)) + b for c, b in zip(chosen, begin, strict=True)]
+        )
+        owner, lo, hi = owner[spot], first[spot], last[spot]
+        bytes_of = [raw.tobytes() for raw in raws]
+        hull = [
+            hashlib.blake2b(bytes_of[k][a : b + length], digest_size=16).digest()
+            for k, a, b in zip(owner.tolist(), lo.tolist(), hi.tolist(), strict=True)
+        ]
+        yield (
+            pa.array(np.array(bases, np.int64)[owner]),
+            pa.array(lo),
+            pa.array(hi),
+            pa.array(anchor[spot]),
+            pa.array(hull, pa.binary()),
+        )
 
     return each
 
@@ -147,19 +197,19 @@ def _strings(length: int):
         for k in range(batch.num_rows):
             text, base, stretches = (batch.column(i)[k].as_py() for i in range(3))
             raw = _raw(text)
-            starts, one, two = [], [], []
-            for s in stretches:
-                part = raw[s["lo"] : s["hi"] + length]
-                one.append(names(part, length, 0))
-                two.append(names(part, length, 1))
-                starts.append(np.arange(s["lo"], s["hi"] + 1))
-            start = np.concatenate(starts)
-            yield (
-                pa.array(np.concatenate(one).view(np.int64)),
-                pa.array(np.concatenate(two).view(np.int64)),
-                pa.array(np.full(len(start), base)),
-                pa.array(start),
-            )
+            cut = [raw[s["lo"] : s["hi"] + length] for s in stretches]
+            for group in _grouped([len(c) for c in cut]):
+                sizes = np.array([len(cut[i]) for i in group])
+                joined = np.concatenate([cut[i] for i in group])
+                low = np.array([stretches[i]["lo"] for i in group]) - (np.cumsum(sizes) - sizes)
+                inside = np.arange(len(joined)) + length <= np.repeat(np.cumsum(sizes), sizes)
+                spot = np.flatnonzero(inside)
+                lists = [names(joined, length, lane)[spot].view(np.int64) for lane in (0, 1)]
+                starts = spot + np.repeat(low, sizes)[spot]
+                yield (
+                    pa.array([base], pa.int64()),
+                    *(pa.array([x], pa.list_(pa.int64())) for x in (*lists, starts)),
+                )
 
     return each
 
@@ -227,10 +277,15 @@ def removed_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         ),
         "hull-classes",
     )
-    repeated = (
-        hulls.join(classes.select("anchor", "hull", F.col("first.col1").alias("earliest")), ["anchor", "hull"])
+    repeated = stored(
+        hulls.join(
+            classes.select("anchor", "hull", F.col("first.col1").alias("earliest")),
+            ["anchor", "hull"],
+        )
         .where("base + lo > earliest")
-        .select("base", "lo", "hi")
+        .groupBy("base")
+        .agg(F.collect_list(F.struct("lo", "hi")).alias("runs")),
+        "repeated",
     )
     mixed = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     open_units = stored(
@@ -240,30 +295,42 @@ def removed_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("stretches")),
         "open-units",
     )
+    for done in (found, ranged, again, chosen, hulls, classes):
+        discard(done)
 
     # rank what is left string by string
-    strings = _read(
-        _by_text(texts, bases.join(open_units, "base")).select("text", "base", "stretches"),
-        _strings(length),
-        "one bigint, two bigint, base bigint, start bigint",
+    strings = stored(
+        _read(
+            _by_text(texts, bases.join(open_units, "base")).select("text", "base", "stretches"),
+            _strings(length),
+            "base bigint, one array<bigint>, two array<bigint>, start array<bigint>",
+        ),
+        "strings",
     )
-    strings = stored(strings, "strings")
-    firsts = (
-        strings.groupBy("one", "two")
-        .agg(F.min(F.col("base") + F.col("start")).alias("earliest"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("one", "two", "earliest")
+    each = strings.select(
+        "base", F.explode(F.arrays_zip("one", "two", "start")).alias("s")
+    ).select("base", "s.one", "s.two", "s.start")
+    firsts = stored(
+        each.groupBy("one", "two")
+        .agg(
+            F.min(F.col("base") + F.col("start")).alias("earliest"),
+            F.max(F.col("base") + F.col("start")).alias("latest"),
+        )
+        .where("earliest < latest")
+        .select("one", "two", "earliest"),
+        "string-classes",
     )
-    firsts = stored(firsts, "string-classes")
-    later = (
-        strings.join(firsts.hint("shuffle_hash"), ["one", "two"])
+    later = stored(
+        each.join(firsts.hint("shuffle_hash"), ["one", "two"])
         .where("base + start > earliest")
-        .select("base", F.col("start").alias("lo"), F.col("start").alias("hi"))
-    )
-    runs = (
-        repeated.unionByName(later)
         .groupBy("base")
-        .agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+        .agg(F.collect_list(F.struct(F.col("start").alias("lo"), F.col("start").alias("hi"))).alias("runs")),
+        "later",
+    )
+    discard(strings)
+    discard(firsts)
+    runs = repeated.unionByName(later).groupBy("base").agg(
+        F.flatten(F.collect_list("runs")).alias("runs")
     )
     return stored(bases.join(runs, "base").select("doc_id", "_text", "runs"), "runs")
 
