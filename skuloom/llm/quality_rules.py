@@ -219,7 +219,7 @@ def clean_documents(docs: DataFrame, limits: LineLimits | None = None) -> DataFr
     """
     limits = limits or LineLimits()
     found, host, hits, sent = _with_hits(docs, limits)
-    at = {c: i for i, c in enumerate(found.columns)}
+    at, names = {c: i for i, c in enumerate(found.columns)}, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +239,7 @@ def clean_documents(docs: DataFrame, limits: LineLimits | None = None) -> DataFr
                 rows.append(k)
                 texts.append(text)
             taken = batch.take(pa.array(rows, pa.int64()))
-            arrays = {c: taken.column(at[c]) for c in docs.columns}
+            arrays = {c: taken.column(at[c]) for c in names}
             arrays["text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
 
