@@ -13,7 +13,7 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row numbe
 
 
 def surrogate_id(df: DataFrame, order: list[str], output: str = "id") -> DataFrame:
-    """Distinct rows numbered 1..n in the given order, without a single-task window.
+    """Rows numbered 1..n in the given order, without a single-task window; copies keep their ids.
 
     Rows are range-partitioned and sorted by ``order`` and then by all other columns, so ties are
     settled and equal keys can still be split. The sorted partitions are checkpointed, because
@@ -21,7 +21,7 @@ def surrogate_id(df: DataFrame, order: list[str], output: str = "id") -> DataFra
     driver, where they become offsets; that bound makes them safe to broadcast.
     """
     keys = [*order, *[c for c in df.columns if c not in order]]
-    sorted_rows = df.distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
+    sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     numbered = materialise(sorted_rows.withColumn("_linha", F.monotonically_increasing_id()))
     part = F.shiftright("_linha", _ROW_BITS)
     counts = sorted(

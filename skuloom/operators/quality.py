@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -287,21 +284,3 @@ def url_health(
         .distinct()
     )
     return lookup_join(targets, bad, ["url"], "inner").select("origem", "sku", "url", "status", "situacao")
-
-
-def crawl(urls: DataFrame, fetch: Callable[[str], tuple[int, str]], tasks: int) -> DataFrame:
-    """Fetch distinct urls inside Spark tasks with the caller's function; failures give -1."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for url in batch["url"]:
-                try:
-                    status, body = fetch(url)
-                except Exception:  # any failure of the caller's fetcher is a finding
-                    status, body = -1, None
-                rows.append((url, status, body))
-            yield pd.DataFrame(rows, columns=["url", "status", "body"])
-
-    distinct = urls.select(F.trim("url").alias("url")).where(~is_blank(F.col("url"))).distinct()
-    return distinct.repartition(tasks).mapInPandas(run, "url string, status int, body string")

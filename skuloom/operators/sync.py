@@ -31,17 +31,18 @@ def _match(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join with each side's row as a struct: ``alvo`` and ``novo``.
 
     Full keys are unique: by contract in the target, by reduction in the source. Rows without a
-    full key match nothing and are all kept; they get the number of their task as an extra key,
-    so that they do not meet in one task.
+    full key match nothing, so they take no part in the join and are all kept, copies too.
     """
-    spread, whole = "_tarefa", "_sem_chave"
     incomplete = reduce(or_, [F.col(k).isNull() for k in keys])
-    task = F.when(incomplete, F.spark_partition_id()).otherwise(F.lit(-1)).alias(spread)
-    left = target.select(*keys, task, F.struct(*target.columns).alias("alvo"))
-    keyless = source.withColumn(whole, F.when(incomplete, F.struct(*source.columns)))
-    fresh = one_per_key(keyless, [*keys, whole])
-    right = fresh.select(*keys, task, F.struct(*source.columns).alias("novo"))
-    return left.join(right, [*keys, spread], "full_outer").drop(spread)
+    old, new = F.struct(*target.columns).alias("alvo"), F.struct(*source.columns).alias("novo")
+    left = target.where(~incomplete).select(*keys, old)
+    right = one_per_key(source.where(~incomplete), keys).select(*keys, new)
+    matched = left.join(right, keys, "full_outer")
+    keyless_left = target.where(incomplete).select(*keys, old)
+    keyless_right = source.where(incomplete).select(*keys, new)
+    return matched.unionByName(keyless_left, allowMissingColumns=True).unionByName(
+        keyless_right, allowMissingColumns=True
+    )
 
 
 def upsert_all(

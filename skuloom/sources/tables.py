@@ -43,13 +43,20 @@ def append_evolving(df: DataFrame, path: str) -> str:
     return path
 
 
-def replace_slice(df: DataFrame, path: str, slice_column: str = "origem") -> str:
-    """Replace only the slices present in ``df``; the other slices stay as they are.
-
-    Rows are not gathered by slice before the write: one source may hold most rows, so every task
-    writes its own file into the slice folder. The rebalance hint joins small files and splits
-    large ones.
+def replace_slice(
+    df: DataFrame, path: str, slice_column: str = "origem", slices: list[str] | None = None
+) -> str:
+    """Replace the slices present in ``df``; the other slices stay as they are.
+
+    ``slices`` names the sources that were loaded: one of them without rows in ``df`` loses the
+    rows it had. Their folders go only after the write has succeeded. Rows are not gathered by
+    slice before the write: one source may hold most rows, so every task writes its own file into
+    the slice folder. The rebalance hint joins small files and splits large ones.
     """
+    emptied = set(slices or ())
+    if emptied:
+        found = df.where(F.col(slice_column).isin(sorted(emptied))).select(slice_column).distinct()
+        emptied -= {r[0] for r in found.collect()}
     (
         df.hint("rebalance")
         .write.mode("overwrite")
@@ -57,9 +64,18 @@ def replace_slice(df: DataFrame, path: str, slice_column: str = "origem") -> str
         .partitionBy(slice_column)
         .parquet(path)
     )
+    for name in sorted(emptied):
+        _remove_slice(df.sparkSession, path, slice_column, name)
     return path
 
 
+def _remove_slice(spark: SparkSession, path: str, column: str, name: str) -> None:
+    """Delete the folder of one slice, through the store that holds the table."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={escape(name)}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def union_tables(tables: list[DataFrame]) -> DataFrame:
     """All rows of tables with the same columns, each table read once."""
     return reduce(lambda left, right: left.unionByName(right), tables)

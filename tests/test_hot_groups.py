@@ -154,7 +154,7 @@ def test_upsert_into_rows_without_a_key(mode, spark, make):
     target = make(rows, "k string, v int").repartition(8)
     updates = make([(None, -1), (None, -1), (None, -2), ("k1", -1), ("new", -1)], "k string, v int")
     merged = sync.upsert_all(target, updates, ["k"])
-    expected = Counter((k, -1 if k == "k1" else v) for k, v in rows) + Counter([(None, -1), (None, -2), ("new", -1)])
+    expected = Counter((k, -1 if k == "k1" else v) for k, v in rows) + Counter([(None, -1), (None, -1), (None, -2), ("new", -1)])
     assert Counter(map(tuple, merged.collect())) == expected
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:

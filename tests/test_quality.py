@@ -128,16 +128,6 @@ def test_url_health(make):
                    ("3", "soft", 200, "pagina_inexistente"), ("4", "redirect", 301, "erro_http")}
 
 
-def test_crawl_runs_the_given_fetcher_in_tasks(make):
-    def fetch(url):
-        if url == "boom":
-            raise OSError("no route")
-        return 200, url.upper()
-
-    urls = make([("a",), (" a ",), ("boom",), (" ",), (None,)], "url string")
-    assert {tuple(r) for r in Q.crawl(urls, fetch, 2).collect()} == {("a", 200, "A"), ("boom", -1, None)}
-
-
 EAV = "sku string, atributo string, valor string"
 
 

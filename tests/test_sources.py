@@ -126,3 +126,11 @@ def test_brand_view(make):
     view = tables.brand_view(df, "Deck", df.columns, ["sku"], fixed=("fix",))
     assert [tuple(r) for r in view.collect()] == [("1", "x")]
     assert tables.publish_view(view, "v_deck").columns == ["sku", "a"]
+
+
+def test_replace_slice_empties_a_loaded_source(spark, make, tmp_path):
+    path, schema = str(tmp_path / "t"), "origem string, x int"
+    tables.replace_slice(make([("a", 1), ("b/c", 2), ("d", 3)], schema), path)
+    tables.replace_slice(make([("a", 9)], schema), path, slices=["a", "b/c"])
+    got = {tuple(r) for r in spark.read.parquet(path).select("origem", "x").collect()}
+    assert got == {("a", 9), ("d", 3)}

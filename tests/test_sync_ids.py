@@ -77,7 +77,7 @@ def test_link_rebuild(make):
 def test_surrogate_id_is_dense_and_ordered(spark):
     df = spark.range(5000).select((F.col("id") % 7).cast("string").alias("g"), (F.col("id") % 2500).alias("x"))
     rows = ids.surrogate_id(df, ["g"]).collect()
-    expected = sorted({(str(i % 7), i % 2500) for i in range(5000)})
+    expected = sorted((str(i % 7), i % 2500) for i in range(5000))
     assert [(r.g, r.x) for r in sorted(rows, key=lambda r: r.id)] == expected
     assert sorted(r.id for r in rows) == list(range(1, len(expected) + 1))
 
