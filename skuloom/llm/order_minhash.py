@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,10 @@ from skuloom.llm.common import BLANKS, fresh, reach_workers, salted_join, stored
 PIECE, CHOSEN, SKETCHES, SIMILARITY = 5, 2, 20, 0.8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(6).integers(1, 1 << 63, SKETCHES, np.uint64)
-#: Cells of an alignment that are held at once; larger ones go row by row.
-_CELLS = 4_000_000
+#: First band of an alignment beyond the difference in length, and columns that share one table.
+_BAND, _STRETCH = 120, 4096
+#: Words up to which the values of all sketches are formed at once.
+_TOGETHER = 50_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,99 +60,75 @@ def sketches(words: list[str], count: int = SKETCHES) -> list[int]:
     label[order] = np.arange(len(kind)) - same[kind[order]]
     labelled = _mix(whole + label * np.uint64(0xD6E8FEB86659FD93))
     take = min(CHOSEN, len(labelled))
+    rows = count if len(labelled) <= _TOGETHER else 1
     chosen = np.empty((count, take), np.uint64)
-    for k in range(count):
-        value = _mix(labelled ^ _SEEDS[k])
-        chosen[k] = value[np.sort(np.argpartition(value, take - 1)[:take])]
+    for k in range(0, count, rows):
+        value = _mix(labelled ^ _SEEDS[k : min(k + rows, count), None])
+        spots = np.sort(np.argpartition(value, take - 1, axis=1)[:, :take], axis=1)
+        chosen[k : k + rows] = np.take_along_axis(value, spots, axis=1)
     out = np.arange(count, dtype=np.uint64)
     for k in range(take):
         out = _mix(out * _MIX + chosen[:, k])
     return out.view(np.int64).tolist()
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
+def edit_distance(a: Sequence, b: Sequence, most: int) -> int:
     """Edits between two sequences, or most + 1 if there are more: alignment inside a band.
 
-    The band starts narrow and doubles until the distance lies inside it. Inside, each diagonal
-    keeps how far it reaches with so many edits; runs of equal words are passed in one step.
+    The band starts narrow and widens until the distance lies inside it.
     """
-    if abs(len(a) - len(b)) > most:
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > most:
         return most + 1
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    skip = int(differ[0]) if len(differ) else n
-    a, b = a[skip:], b[skip:]
-    n = min(len(a), len(b))
-    if n:
-        differ = np.flatnonzero(a[::-1][:n] != b[::-1][:n])
-        skip = int(differ[0]) if len(differ) else n
-        a, b = a[: len(a) - skip], b[: len(b) - skip]
-    if not len(a) or not len(b):
-        return min(max(len(a), len(b)), most + 1)
-    band = 8
-    while True:
-        band = min(band, most)
-        if (2 * band + 1) * (len(a) + 1) > _CELLS:
-            return _by_rows(a, b, most)
-        found = _by_diagonals(a, b, band)
-        if found <= band or band == most:
+    head = 0
+    while head < len(b) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < len(b) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    if not len(b):
+        return len(a)
+    band = len(a) - len(b) + _BAND
+    while band < most:
+        found = _banded(a, b, band)
+        if found <= band:
             return found
-        band *= 2
-
-
-def _by_diagonals(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    n, m = len(a), len(b)
-    if abs(n - m) > band:
-        return band + 1
-    # stop[k, i]: first i' >= i where a[i'] and b[i' + k] differ or one of them ends
-    shifts = np.arange(-band, band + 1)
-    place = np.arange(n)[None, :] + shifts[:, None]
-    inside = (place >= 0) & (place < m)
-    equal = inside & (a[None, :] == b[np.clip(place, 0, m - 1)])
-    stop = np.full((len(shifts), n + 1), n, np.int64)
-    stop[:, :n] = np.where(equal, n, np.arange(n))
-    stop = np.minimum.accumulate(stop[:, ::-1], axis=1)[:, ::-1]
-    each = np.arange(len(shifts))
-    goal = band + m - n
-    far = np.full(len(shifts), -(10**9), np.int64)
-    far[band] = 0
-    low, high = np.maximum(0, -shifts), np.minimum(n, m - shifts)
-    for edits in range(band + 1):
-        if edits:
-            change, drop, add = far + 1, np.full_like(far, -(10**9)), np.full_like(far, -(10**9))
-            drop[:-1] = far[1:] + 1  # leaves out a word of a
-            add[1:] = far[:-1]  # takes in a word of b
-            far = np.minimum(np.maximum(np.maximum(change, drop), add), high)
-        alive = far >= low
-        if alive.any():
-            far = np.where(alive, stop[each, np.clip(far, 0, n)], -(10**9))
-        if far[goal] >= n:
-            return edits
-    return band + 1
-
-
-def _by_rows(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """The same band row by row, in memory for one row."""
-    n, m = len(a), len(b)
-    far = most + 1
-    width = 2 * most + 1
-    shift = np.arange(width) - most  # column minus row
-    before = np.where((shift >= 0) & (shift <= m), shift, far)
-    for i in range(1, n + 1):
-        column = i + shift
-        valid = (column >= 0) & (column <= m)
-        match = np.full(width, 1)
-        inside = (column >= 1) & (column <= m)
-        match[inside] = b[column[inside] - 1] != a[i - 1]
-        now = before + match
-        now[:-1] = np.minimum(now[:-1], before[1:] + 1)
-        now = np.where(column == 0, i, now)
-        now = np.where(valid, now, far)
-        now = np.minimum(np.minimum.accumulate(now - np.arange(width)) + np.arange(width), far)
-        before = np.where(valid, now, far)
-        if before.min() > most:
-            return far
-    return int(before[most + m - n]) if 0 <= most + m - n < width else far
+        band *= 4
+    return _banded(a, b, most)
+
+
+def _banded(a: Sequence, b: Sequence, most: int) -> int:
+    """Edits of ``a``, the longer one, and ``b``, or most + 1: one column of the band at a time.
+
+    A column is held as bits: which cells are one more (``up``) or one less (``down``) than the
+    cell above. The window moves down the diagonal by one row a column; an alignment of at most
+    ``most`` edits never leaves it. Edits are counted along the diagonal that ends in the last cell.
+    """
+    longer = len(a) - len(b)
+    above = (most - longer) // 2
+    width = longer + 2 * above + 1
+    full, goal = (1 << width) - 1, 1 << (above + longer)
+    up, down, edits = full >> above << above, 0, longer
+    for begin in range(0, len(b), _STRETCH):
+        columns = b[begin : begin + _STRETCH]
+        # rows that the windows of these columns cover, as bits of each of their words
+        rows, first = dict.fromkeys(columns, 0), begin - above
+        for i in range(max(0, first), min(len(a), first + len(columns) + width)):
+            if a[i] in rows:
+                rows[a[i]] |= 1 << (i - first)
+        for shift, word in enumerate(columns):
+            equal = rows[word] >> shift & full
+            free = (((equal & up) + up) ^ up | equal | down) & full
+            if not free & goal:
+                edits += 1
+                if edits > most:
+                    return most + 1
+            right, left = down | full ^ (free | up), free & up
+            free >>= 1
+            up, down = left | full ^ (free | right), free & right
+    return edits
 
 
 def similar(a: list[str], b: list[str], least: float = SIMILARITY) -> bool:
@@ -160,7 +138,7 @@ def similar(a: list[str], b: list[str], least: float = SIMILARITY) -> bool:
     common = sum((Counter(a) & Counter(b)).values())
     if longer - common > most:
         return False
-    return edit_distance(word_names(a), word_names(b), most) <= most
+    return edit_distance(a, b, most) <= most
 
 
 def words_key(docs: DataFrame) -> Column:
