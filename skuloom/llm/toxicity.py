@@ -23,6 +23,8 @@ CHOSEN_FROM = 40_000
 #: Hash buckets of the features.
 BUCKETS = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
+#: Log-likelihood ratio from which a word counts as offending.
+_EVIDENCE = 8
 _WINDOW = 32
 _REMEMBERED = 300_000
 _CHUNK = 1_000_000
@@ -127,7 +129,8 @@ class Tagger:
 def word_labels(texts: list[list[str]], toxic: np.ndarray) -> set[int]:
     """Feature buckets that mark offending words: far more frequent in toxic texts than in others.
 
-    A bucket needs three toxic texts, and one in a hundred of them, and odds of at least e**3.
+    A bucket needs three toxic texts, and one in a hundred of them, odds of at least e**3, and a
+    count among toxic texts that chance gives about once in three thousand buckets or less often.
     """
     inside, outside = Counter(), Counter()
     for words, label in zip(texts, toxic.tolist(), strict=True):
@@ -137,8 +140,13 @@ def word_labels(texts: list[list[str]], toxic: np.ndarray) -> set[int]:
     least = max(3, 0.01 * n)
     found = set()
     for name, count in inside.items():
-        odds = math.log((count + 0.1) / (n + 1)) - math.log((outside[name] + 0.1) / (m + 1))
-        if count >= least and odds > 3:
+        others = outside[name]
+        odds = math.log((count + 0.1) / (n + 1)) - math.log((others + 0.1) / (m + 1))
+        # log of the likelihood that the bucket is toxic at its own rate against the usual rate
+        both = count + others
+        gain = count * math.log(count / both * (n + m) / n)
+        gain += others * math.log(others / both * (n + m) / m) if others else 0
+        if count >= least and odds > 3 and gain > _EVIDENCE:
             found.add(name)
     return found
 
