@@ -130,7 +130,7 @@ def word_labels(texts: list[list[str]], toxic: np.ndarray) -> set[int]:
     """Feature buckets that mark offending words: far more frequent in toxic texts than in others.
 
     A bucket needs three toxic texts, and one in a hundred of them, odds of at least e**3, and a
-    count among toxic texts that chance gives about once in three thousand buckets or less often.
+    log-likelihood ratio of ``_EVIDENCE``, so that few labelled texts do not mark words by chance.
     """
     inside, outside = Counter(), Counter()
     for words, label in zip(texts, toxic.tolist(), strict=True):
