@@ -23,7 +23,7 @@ from skuloom.llm.common import BLANKS, fresh, reach_workers, salted_join, stored
 PIECE, CHOSEN, SKETCHES, SIMILARITY = 5, 2, 20, 0.8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(6).integers(1, 1 << 63, SKETCHES, np.uint64)
-#: First band of an alignment beyond the difference in length, and columns that share one table.
+#: First band of an alignment beyond the difference in length, and lines that share one table.
 _BAND, _STRETCH = 120, 4096
 #: Words up to which the values of all sketches are formed at once.
 _TOGETHER = 50_000
@@ -92,34 +92,36 @@ def edit_distance(a: Sequence, b: Sequence, most: int) -> int:
         return len(a)
     band = len(a) - len(b) + _BAND
     while band < most:
-        found = _banded(a, b, band)
+        found = _by_rows(a, b, band)
         if found <= band:
             return found
         band *= 4
-    return _banded(a, b, most)
+    return _by_rows(a, b, most)
 
 
-def _banded(a: Sequence, b: Sequence, most: int) -> int:
-    """Edits of ``a``, the longer one, and ``b``, or most + 1: one column of the band at a time.
+def _by_rows(a: Sequence, b: Sequence, most: int) -> int:
+    """Edits of two sequences inside the band of ``most``, or most + 1: one word of ``b`` at a time.
 
-    A column is held as bits: which cells are one more (``up``) or one less (``down``) than the
-    cell above. The window moves down the diagonal by one row a column; an alignment of at most
+    A line of cells is held as bits: which are one more (``up``) or one less (``down``) than the
+    cell before. The window moves along the diagonal by one cell a line; an alignment of at most
     ``most`` edits never leaves it. Edits are counted along the diagonal that ends in the last cell.
     """
+    if len(a) < len(b):
+        a, b = b, a
     longer = len(a) - len(b)
     above = (most - longer) // 2
     width = longer + 2 * above + 1
     full, goal = (1 << width) - 1, 1 << (above + longer)
     up, down, edits = full >> above << above, 0, longer
     for begin in range(0, len(b), _STRETCH):
-        columns = b[begin : begin + _STRETCH]
-        # rows that the windows of these columns cover, as bits of each of their words
-        rows, first = dict.fromkeys(columns, 0), begin - above
-        for i in range(max(0, first), min(len(a), first + len(columns) + width)):
-            if a[i] in rows:
-                rows[a[i]] |= 1 << (i - first)
-        for shift, word in enumerate(columns):
-            equal = rows[word] >> shift & full
+        lines = b[begin : begin + _STRETCH]
+        # places in ``a`` that the windows of these lines cover, as bits of each of their words
+        places, first = dict.fromkeys(lines, 0), begin - above
+        for i in range(max(0, first), min(len(a), first + len(lines) + width)):
+            if a[i] in places:
+                places[a[i]] |= 1 << (i - first)
+        for shift, word in enumerate(lines):
+            equal = places[word] >> shift & full
             free = (((equal & up) + up) ^ up | equal | down) & full
             if not free & goal:
                 edits += 1
