@@ -13,6 +13,7 @@ import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -79,10 +80,6 @@ class Vocabulary:
         for piece in self.id_of:
             head = piece[:2]
             self.longest[head] = max(self.longest.get(head, 0), len(piece))
-        self.longest_ending: dict[bytes, int] = {}
-        for piece in self.id_of:
-            end = piece[-2:]
-            self.longest_ending[end] = max(self.longest_ending.get(end, 0), len(piece))
         self.splitter = regex.compile(PATTERN)
         self.special_split = (
             regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -92,6 +89,7 @@ class Vocabulary:
         self._ids: dict[str, bytes] = {}
         self._counts: dict[str, bytes | list[int]] = {}
         self._fits: dict[tuple[int, int], bool] = {}
+        self._endings: ahocorasick.Automaton | None = None
 
     # ---- words -------------------------------------------------------------------------------
 
@@ -262,6 +260,17 @@ class Vocabulary:
 
     # ---- counts of all prefixes --------------------------------------------------------------
 
+    @property
+    def endings(self) -> ahocorasick.Automaton:
+        """Finds the tokens that end at each byte, the longest first; bytes stand as characters."""
+        if self._endings is None:
+            found = ahocorasick.Automaton()
+            for piece, token in self.id_of.items():
+                found.add_word(piece.decode("latin-1"), (token, len(piece)))
+            found.make_automaton()
+            self._endings = found
+        return self._endings
+
     def byte_counts(self, word: str) -> bytes | list[int]:
         """Tokens of every byte prefix of one word, from the empty one on.
 
@@ -272,20 +281,18 @@ class Vocabulary:
         if known is not None:
             return known
         raw = word.encode()
-        n, id_of, fits, ending = len(raw), self.id_of, self._fits, self.longest_ending
+        n, fits = len(raw), self._fits
         last, count = [-1] * (n + 1), [0] * (n + 1)
-        for stop in range(1, n + 1):
-            for at in range(max(0, stop - ending.get(raw[max(0, stop - 2) : stop], 1)), stop):
-                token = id_of.get(raw[at:stop])
-                if token is None:
+        for stop, (token, size) in self.endings.iter(raw.decode("latin-1")):
+            stop += 1
+            if count[stop]:
+                continue
+            if at := stop - size:
+                before = last[at]
+                good = fits.get((before, token))
+                if not (self.fits(before, token) if good is None else good):
                     continue
-                if at:
-                    before = last[at]
-                    good = fits.get((before, token))
-                    if not (self.fits(before, token) if good is None else good):
-                        continue
-                last[stop], count[stop] = token, count[at] + 1
-                break
+            last[stop], count[stop] = token, count[at] + 1
         result = bytes(count) if n < 256 else count
         if n <= _LONG_WORD:
             if len(self._counts) >= REMEMBERED:
@@ -349,7 +356,8 @@ class Vocabulary:
         """
         at, base, seen = 0, 0, []
         for segment, special in self.segments(text):
-            for word in [segment] if special is not None else self.splitter.findall(segment):
+            found = (m.group() for m in self.splitter.finditer(segment))
+            for word in found if special is None else [segment]:
                 seen.append((at, base))
                 at += len(word)
                 base += 1 if special is not None else self.byte_counts(word)[-1]
