@@ -21,7 +21,7 @@ FAMILY_TYPES = {
     "array": (T.ArrayType,),
     "void": (T.NullType,),
 }
-STORED_AS = {"string": "string", "bigint": "bigint", "decimal": "decimal(38,10)", "float": "double"}
+STORED_AS = {"string": "string", "bigint": "bigint", "float": "double"}
 
 
 def family_of(data_type: T.DataType) -> str | None:
@@ -31,6 +31,21 @@ def family_of(data_type: T.DataType) -> str | None:
     return None
 
 
+def stored_type(family: str, types: list[T.DataType]) -> str | None:
+    """The one type that holds every value of a family unchanged; None where they are alike.
+
+    Decimals get the digits before and after the point that the widest columns need, and become
+    text where 38 digits cannot hold both. Arrays of several element types become arrays of text.
+    """
+    if family == "decimal":
+        scale = max(t.scale for t in types)
+        digits = scale + max(t.precision - t.scale for t in types)
+        return f"decimal({digits},{scale})" if digits <= 38 else "string"
+    if family == "array" and len({t.elementType.simpleString() for t in types}) > 1:
+        return "array<string>"
+    return STORED_AS.get(family)
+
+
 def columns_by_family(df: DataFrame, exclude: tuple[str, ...] = ()) -> dict[str, list[str]]:
     """Column names grouped by type family; columns of other types are left out."""
     groups: dict[str, list[str]] = {}

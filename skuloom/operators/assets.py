@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.text import strip_brackets
 from skuloom.operators.control import keep_active
-from skuloom.operators.pivots import pivot_max
+from skuloom.operators.pivots import names_found, pivot_max
 
 
 def _after_dash(column: Column) -> Column:
@@ -25,9 +25,12 @@ def _attribute_values(assets: DataFrame, keys: list[str], input_filter: DataFram
 
 
 def document_assets(
-    products: DataFrame, input_filter: DataFrame, attributes: list[str]
+    products: DataFrame, input_filter: DataFrame, attributes: list[str] | None = None
 ) -> DataFrame:
-    """One row per document version, one column per asset attribute (its largest value)."""
+    """One row per document version, one column per asset attribute (its largest value).
+
+    Without ``attributes`` every active attribute that the assets carry gets its column.
+    """
     assets = products.select("sku", F.col("brand").alias("marca"), F.inline("assets.documents"))
     named = assets.select(
         "sku",
@@ -41,11 +44,18 @@ def document_assets(
     )
     keys = [c for c in named.columns if c != "attributes"]
     values = _attribute_values(named, keys, input_filter)
+    if attributes is None:
+        attributes = names_found(values, "atributo")
     return pivot_max(values, keys, "atributo", attributes, ["value"])
 
 
-def image_assets(products: DataFrame, input_filter: DataFrame, attributes: list[str]) -> DataFrame:
-    """One row per image, attribute name and unit, one column per asset attribute."""
+def image_assets(
+    products: DataFrame, input_filter: DataFrame, attributes: list[str] | None = None
+) -> DataFrame:
+    """One row per image, attribute name and unit, one column per asset attribute.
+
+    Without ``attributes`` every active attribute that the assets carry gets its column.
+    """
     assets = products.select(
         "sku",
         F.col("brand").alias("marca"),
@@ -67,14 +77,19 @@ def image_assets(products: DataFrame, input_filter: DataFrame, attributes: list[
     )
     keys = [c for c in named.columns if c != "attributes"]
     values = _attribute_values(named, keys, input_filter).withColumnRenamed("uom", "unidade_medida")
+    if attributes is None:
+        attributes = names_found(values, "atributo")
     return pivot_max(
         values, [*keys, "nome_atributo", "unidade_medida"], "atributo", attributes, ["value"]
     )
 
 
-def documents_by_type(products: DataFrame, documents: DataFrame, types: list[str]) -> DataFrame:
+def documents_by_type(
+    products: DataFrame, documents: DataFrame, types: list[str] | None = None
+) -> DataFrame:
     """Products with one column per document type holding its largest url.
 
+    Without ``types`` every type of the documents that count gets its column.
     Only documents that carry at least one attribute value count; testing the nested lists is
     enough, because copies of a url do not change its maximum. Rows that differ only in the brand
     of their documents are merged before the join, while they are narrow.
@@ -89,6 +104,8 @@ def documents_by_type(products: DataFrame, documents: DataFrame, types: list[str
         "url",
     )
     keys = ["doc_sku", "marca", "tipo_arquivo"]
+    if types is None:
+        types = names_found(named, "id_ref")
     wide = pivot_max(named, keys, "id_ref", types, ["url"]).drop("marca").distinct()
     return products.join(wide, products["sku"] == wide["doc_sku"], "left").drop("doc_sku")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.text import is_blank
 from skuloom.operators.joins import lookup_join
-from skuloom.operators.pivots import pivot_max
+from skuloom.operators.pivots import names_found, pivot_max
 
 
 def trimmed(df: DataFrame, *columns: str) -> DataFrame:
@@ -109,7 +109,7 @@ def classification(
     inob: DataFrame,
     ausp: DataFrame,
     cabn: DataFrame,
-    attributes: list[str],
+    attributes: list[str] | None = None,
     class_type: str = K.MATERIAL_CLASS_TYPE,
     blank_as_null: bool = False,
 ) -> DataFrame:
@@ -117,8 +117,11 @@ def classification(
 
     The value table is by far the largest, so it is reduced to one row per object and
     characteristic before it meets the materials. Descriptions do not take part: they cannot
-    change a maximum of values.
+    change a maximum of values. Without ``attributes`` every characteristic of ``cabn`` gets its
+    column, so one without any value gives a column of nulls.
     """
+    if attributes is None:
+        attributes = names_found(cabn.select(F.lower(F.trim("atnam")).alias("atnam")), "atnam")
     values = characteristic_values(ausp, cabn, blank_as_null)
     classed = values.withColumnRenamed("klart", "tipo_classe")
     objects = pivot_max(classed, ["objek", "tipo_classe"], "atributo", attributes, ["valor"])

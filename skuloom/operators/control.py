@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.text import flag, norm
 from skuloom.functions.types import catalogue_type
-from skuloom.operators.joins import lookup_join
+from skuloom.operators.joins import lookup_join, salt_count
 from skuloom.session import small_rows
 
 MAX_SPEC_ROWS = 10_000
@@ -24,9 +24,14 @@ def active_ids(input_filter: DataFrame) -> DataFrame:
 
 
 def keep_active(df: DataFrame, id_column: str, input_filter: DataFrame) -> DataFrame:
-    """Rows whose attribute id is active in the input filter."""
+    """Rows whose attribute id is active in the input filter.
+
+    The ids are control data, so they are always repeated per salt: adaptive execution leaves a
+    hot id whole where a later grouping contains the id.
+    """
     keyed = df.withColumn("id_ativo", F.lower(F.col(id_column)))
-    return lookup_join(keyed, active_ids(input_filter), ["id_ativo"], "left_semi").drop("id_ativo")
+    active = active_ids(input_filter)
+    return lookup_join(keyed, active, ["id_ativo"], "left_semi", salt_count(df)).drop("id_ativo")
 
 
 def output_spec(
@@ -108,7 +113,7 @@ def attribute_classes(input_filter: DataFrame, catalogue: DataFrame) -> DataFram
         norm(F.col("id_atributo_entrada")).alias("id_atributo_entrada"), "id_atributo_catalogo"
     )
     return (
-        inputs.join(entries, "id_atributo_catalogo")
+        lookup_join(inputs, entries, ["id_atributo_catalogo"], "inner", salt_count(inputs))
         .select("id_atributo_entrada", "id_atributo_catalogo", F.explode("classes").alias("classe"))
         .distinct()
     )

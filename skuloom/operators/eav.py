@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.text import is_blank, joined, with_unit
-from skuloom.functions.types import STORED_AS, columns_by_family, family_of
+from skuloom.functions.types import columns_by_family, family_of, stored_type
 from skuloom.operators.control import keep_active
 from skuloom.operators.pivots import pivot_max
 from skuloom.sources.tables import union_tables
@@ -90,10 +90,22 @@ def eav_build(
 def unpivot_by_family(
     df: DataFrame, key: str, origin: str, load_time: Column
 ) -> dict[str, DataFrame]:
-    """The columns of a table as EAV rows, one frame per type family; the key is no attribute."""
+    """The columns of a table as EAV rows, one frame per type family; the key is no attribute.
+
+    Values keep all their digits, see ``stored_type``. Maps and structs are stored as JSON and
+    types without a family as text, among the strings.
+    """
+    others = [f for f in df.schema if f.name != key and family_of(f.dataType) is None]
+    as_text = {
+        f.name: F.to_json(f"`{f.name}`")
+        if f.dataType.typeName() in ("map", "struct", "variant")
+        else F.col(f"`{f.name}`").cast("string")
+        for f in others
+    }
+    df = df.withColumns(as_text) if as_text else df
     frames = {}
     for family, columns in columns_by_family(df, exclude=(key,)).items():
-        stored = STORED_AS.get(family)
+        stored = stored_type(family, [df.schema[c].dataType for c in columns])
         values = [F.col(c).cast(stored).alias(c) if stored else F.col(c) for c in columns]
         long = df.select(F.col(key).cast("string").alias("sku"), *values).unpivot(
             "sku", columns, "atributo", "valor"

@@ -40,15 +40,18 @@ def lookup_join(
     with a third of all rows must not end in one task. Adaptive execution splits such a partition
     to even pieces, since every join type allowed here may split its left side. Where the session
     has that switched off (or ``salts`` is given), each left row goes to one of ``salts`` sub-keys
-    and the lookup is repeated once per sub-key. The salt is the number of the task that made
-    the row: copies of one row are spread as well, and a repeated task gives the same salt again.
+    and the lookup is repeated once per sub-key. The salt is a hash of the whole row, moved on by the number
+    of the task that made it: a hot key that comes out of one task is spread, copies made by
+    several tasks are, and a repeated task gives the same salt again.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join cannot be {how!r}")
     if salts is None and splits_skew(left):
         return left.join(right, keys, how)
     salts = salts or salt_count(left)
-    spread = left.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    hashed = [F.col(f"`{f.name}`") for f in left.schema if "map<" not in f.dataType.simpleString()]
+    number = F.pmod(F.xxhash64(*hashed), F.lit(salts)) + F.spark_partition_id()
+    spread = left.withColumn(_SALT, F.pmod(number, F.lit(salts)).cast("int"))
     repeated = right.withColumn(_SALT, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return spread.join(repeated, [*keys, _SALT], how).drop(_SALT)
 

@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 MAX_CONDITIONAL = 64
 
 
+def names_found(df: DataFrame, name: str) -> list[str]:
+    """The names that a pivot gives a column each, sorted; null is no name.
+
+    They decide the schema, so they must reach the driver. Copies are dropped on the map side, so
+    as many rows arrive as the result has columns.
+    """
+    found = df.where(F.col(name).isNotNull()).select(name).distinct().collect()
+    return sorted(r[0] for r in found)
+
+
 def pivot_max(
     df: DataFrame, keys: list[str], name: str, names: list[str], values: list[str]
 ) -> DataFrame:

@@ -32,7 +32,11 @@ class SiteInputs:
 
 
 def site_products(
-    tables: SiteInputs, spec: Spec, document_types: list[str], base_url: str, shop_column: str
+    tables: SiteInputs,
+    spec: Spec,
+    base_url: str,
+    shop_column: str,
+    document_types: list[str] | None = None,
 ) -> DataFrame:
     """Wide products shown on the site with documents, references and urls, typed by the spec.
 

@@ -274,6 +274,24 @@ def unpivot_bigint(spark: SparkSession, sf: str) -> DataFrame:
     return _erp_frames(spark, sf)["bigint"].drop("data_ingestao")
 
 
+@query(
+    "d10_unpivot_decimal",
+    """SELECT 'part' AS origem, CAST(p_partkey AS VARCHAR) AS sku, a.atributo, a.valor
+    FROM part, LATERAL (
+      SELECT 'preco' AS atributo,
+        CAST(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DECIMAL(38,15)) AS VARCHAR) AS valor
+      UNION ALL SELECT 'medida', CAST(p_partkey AS VARCHAR) || '.123456789012345') a""",
+)
+def unpivot_decimal(spark: SparkSession, sf: str) -> DataFrame:
+    parts = I.table(spark, sf, "part").select(
+        "p_partkey",
+        F.col("p_retailprice").cast("decimal(18,2)").alias("preco"),
+        F.concat(I.text("p_partkey"), F.lit(".123456789012345")).cast("decimal(30,15)").alias("medida"),
+    )
+    long = eav.unpivot_by_family(parts, "p_partkey", "part", I.load_time())["decimal"]
+    return long.select("origem", "sku", "atributo", F.col("valor").cast("string").alias("valor"))
+
+
 @query(
     "d10_unpivot_float",
     """SELECT 'part' AS origem, CAST(p_partkey AS VARCHAR) AS sku, '' AS nome_produto,
@@ -300,7 +318,12 @@ def unit_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- assets -----------------------------------------------------------------------------------
 
-_ASSET_ATTRIBUTES = ["asset.host", "asset.lang"]
+def _cells(wide, keys: list[str]):
+    """The filled cells of a wide table, one row each, whatever its columns are called."""
+    names = [c for c in wide.columns if c not in keys]
+    return wide.unpivot(keys, [F.col(f"`{c}`") for c in names], "atributo", "valor").where(
+        F.col("valor").isNotNull()
+    )
 
 
 @query(
@@ -311,7 +334,7 @@ _ASSET_ATTRIBUTES = ["asset.host", "asset.lang"]
     FROM pg GROUP BY 1, 2, 3, 4, 5, 6, 7""",
 )
 def document_assets(spark: SparkSession, sf: str) -> DataFrame:
-    wide = assets.document_assets(I.document_products(spark, sf), I.input_filter(spark), _ASSET_ATTRIBUTES)
+    wide = assets.document_assets(I.document_products(spark, sf), I.input_filter(spark))
     return publish.rename_by_map(wide, control.rename_map(I.input_filter(spark)))
 
 
@@ -330,11 +353,27 @@ def document_assets(spark: SparkSession, sf: str) -> DataFrame:
     FROM attrs GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11""",
 )
 def image_assets(spark: SparkSession, sf: str) -> DataFrame:
-    wide = assets.image_assets(I.image_products(spark, sf), I.input_filter(spark), _ASSET_ATTRIBUTES)
+    wide = assets.image_assets(I.image_products(spark, sf), I.input_filter(spark))
     named = publish.rename_by_map(wide, control.rename_map(I.input_filter(spark)))
     return named.withColumn("resize", F.array_join("resize", ","))
 
 
+_DOCUMENT_KEYS = "sku marca tipo_arquivo nome_arquivo_documento descricao url versao".split()
+
+
+@query(
+    "d02_document_cells",
+    f"""WITH {O.PAGES} SELECT sku, brand AS marca, 'documento' AS tipo_arquivo,
+    nome AS nome_arquivo_documento, 'Tipo ' || type_id AS descricao, url, 'v' || lang AS versao,
+    a.atributo, max(a.valor) AS valor
+    FROM pg, LATERAL (SELECT 'asset.host' AS atributo, host AS valor UNION ALL SELECT 'asset.lang', lang) a
+    WHERE a.valor IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""",
+)
+def document_cells(spark: SparkSession, sf: str) -> DataFrame:
+    wide = assets.document_assets(I.document_products(spark, sf), I.input_filter(spark))
+    return _cells(wide, _DOCUMENT_KEYS)
+
+
 @query(
     "d24_image_sizes",
     f"""WITH {O.PAGES} SELECT sku, ' D' || page_id AS id_arquivo, page_url || '/1' AS tamanho_g,
@@ -346,7 +385,6 @@ def image_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return assets.image_sizes(images.select("sku", F.col("id").alias("id_arquivo"), "resize"))
 
 
-_DOC_TYPES = ["doc-manual", "doc-ficha", "doc-cad"]
 _DOCS = """docs AS (SELECT sku, brand, max(CASE WHEN type_id = 'DOC-manual' THEN url END) AS "doc-manual",
       max(CASE WHEN type_id = 'DOC-ficha' THEN url END) AS "doc-ficha",
       max(CASE WHEN type_id = 'DOC-cad' THEN url END) AS "doc-cad" FROM pg GROUP BY sku, brand)"""
@@ -359,7 +397,19 @@ _DOCS = """docs AS (SELECT sku, brand, max(CASE WHEN type_id = 'DOC-manual' THEN
     FROM produtos p LEFT JOIN docs d ON d.sku = p.sku""",
 )
 def documents_by_type(spark: SparkSession, sf: str) -> DataFrame:
-    return assets.documents_by_type(I.page_products(spark, sf), I.document_products(spark, sf), _DOC_TYPES)
+    return assets.documents_by_type(I.page_products(spark, sf), I.document_products(spark, sf))
+
+
+@query(
+    "d25_document_type_cells",
+    f"""WITH {O.PAGES}, produtos AS (SELECT sku, max(page_url) AS pagina FROM pg GROUP BY sku), docs AS (
+      SELECT sku, brand, lower(type_id) AS atributo, max(url) AS valor FROM pg GROUP BY 1, 2, 3)
+    SELECT DISTINCT p.sku, pagina, atributo, valor
+    FROM produtos p JOIN docs d ON d.sku = p.sku WHERE valor IS NOT NULL""",
+)
+def document_type_cells(spark: SparkSession, sf: str) -> DataFrame:
+    wide = assets.documents_by_type(I.page_products(spark, sf), I.document_products(spark, sf))
+    return _cells(wide, ["sku", "pagina", "tipo_arquivo"]).drop("tipo_arquivo").distinct()
 
 
 # --- hierarchy and references -----------------------------------------------------------------
@@ -458,7 +508,6 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
         I.erp_objects(spark, sf),
         I.erp_values(spark, sf),
         I.erp_characteristics(spark, sf),
-        I.CHARACTERISTICS,
     )
 
 
@@ -467,6 +516,17 @@ def classify(spark: SparkSession, sf: str) -> DataFrame:
     return _classified(spark, sf)
 
 
+@query(
+    "d09_classification_cells",
+    f"""SELECT CAST(p_partkey AS VARCHAR) AS sku, '001' AS tipo_classe,
+    'char_' || CAST(l_linenumber AS VARCHAR) AS atributo, max({O.LINE_VALUE}) AS valor
+    FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, l_linenumber""",
+)
+def classification_cells(spark: SparkSession, sf: str) -> DataFrame:
+    keys = list(classification.MATERIAL_KEYS)
+    return _cells(_classified(spark, sf), keys).select("sku", "tipo_classe", "atributo", "valor")
+
+
 @query(
     "d09_classified_values",
     f"""SELECT CAST(p_partkey AS VARCHAR) AS sku, '789' || CAST(p_partkey AS VARCHAR) AS codigo_barras,
@@ -584,7 +644,7 @@ def site_products(spark: SparkSession, sf: str) -> DataFrame:
         history=I.url_history(spark, sf),
         shop=I.shop_skus(spark, sf),
     )
-    published = site.site_products(inputs, control.spec_rows(_spec(spark)), _DOC_TYPES, _BASE_URL, "url_loja")
+    published = site.site_products(inputs, control.spec_rows(_spec(spark)), _BASE_URL, "url_loja")
     return published.withColumns({c: F.col(c).cast("double") for c in ("preco", "tamanho_erp")})
 
 

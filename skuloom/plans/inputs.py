@@ -509,9 +509,6 @@ def erp_characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CHARACTERISTICS = [f"char_{i}" for i in range(1, 8)]
-
-
 def erp_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")

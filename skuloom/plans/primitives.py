@@ -324,7 +324,7 @@ def distinct(spark: SparkSession, sf: str) -> DataFrame:
     count(*) FILTER (WHERE l_linestatus = 'O') AS "O" FROM lineitem GROUP BY l_returnflag""",
 )
 def pivot(spark: SparkSession, sf: str) -> DataFrame:
-    counts = I.table(spark, sf, "lineitem").groupBy("l_returnflag").pivot("l_linestatus", ["F", "O"])
+    counts = I.table(spark, sf, "lineitem").groupBy("l_returnflag").pivot("l_linestatus")
     return counts.agg(F.count(F.lit(1))).na.fill(0)
 
 

@@ -136,3 +136,10 @@ def test_attribute_classes(make):
         ("a", "img", "golden_record"), ("a", "img", "lov"), ("a", "rec", "golden_record"), ("a", "rec", "text"),
         ("a", "num", "golden_record"), ("a", "num", "number"),
     }
+
+
+def test_every_characteristic_gets_its_column(erp, make):
+    mara, inob, ausp, cabn = erp[:4]
+    wide = C.classification(mara, inob, ausp, cabn.union(make([("99", "Nova")], cabn.schema)))
+    assert {r.sku: r.nova for r in wide.collect()} == {"1": None, "2": "Z"}
+    assert {"cor", "data", "peso", "nova"} <= set(wide.columns)

@@ -108,3 +108,15 @@ def test_concat_group_unique(make):
     assert eav.concat_group(df, ["k"], "v", ";", "o").first().o == "a;b;b"
     assert eav.concat_group(df, ["k"], "v", ";", "o", unique=True).first().o == "a;b"
     assert eav.concat_group(df.where(F.col("v").isNull()), ["k"], "v", ";", "o").first().o == ""
+
+
+def test_unpivot_keeps_digits_and_nested_columns(make):
+    schema = "k int, a decimal(32,0), b decimal(20,15), n array<int>, t array<string>, m map<string,int>"
+    df = make([(1, Decimal("9" * 32), Decimal("1.123456789012345"), [1], ["x"], {"q": 2})], schema)
+    frames = eav.unpivot_by_family(df, "k", "src", load_time())
+    got = {f: {r.atributo: r.valor for r in frame.collect()} for f, frame in frames.items()}
+    assert got == {
+        "decimal": {"a": "9" * 32, "b": "1.123456789012345"},
+        "array": {"n": ["1"], "t": ["x"]},
+        "string": {"m": '{"q":2}'},
+    }

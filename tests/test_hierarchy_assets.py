@@ -123,3 +123,11 @@ def test_image_sizes_from_text_and_array(make):
     assert rows == {"1": list("abcdef"), "2": ["a"] + [None] * 5, "3": [None] * 6}
     listed = make([("1", ["[a]", "b"])], "sku string, resize array<string>")
     assert [assets.image_sizes(listed).first()[n] for n in names[:3]] == ["a", "b", None]
+
+
+def test_asset_names_are_found(make):
+    attributes = [("ASSET.Cor", "Cor", [("a", None)]), ("asset.novo", "N", [("z", None)]), ("asset.x", "X", [("y", None)])]
+    docs = make([(*head("1", "A"), None, ([asset("d1", "DOC-novo", "u", attributes=attributes)],))], S.PRODUCT_DOCUMENTS)
+    wide = assets.document_assets(docs, active(make, "asset.cor", "asset.novo"))
+    assert [c for c in wide.columns if c.startswith("asset.")] == ["asset.cor", "asset.novo"]
+    assert assets.documents_by_type(make([("1",)], "sku string"), docs).first()["doc-novo"] == "u"

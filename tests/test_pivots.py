@@ -21,3 +21,9 @@ def test_both_pivot_forms_agree(make, monkeypatch, limit):
 def test_one_value_column_keeps_its_type(make):
     df = make([("k", "a", 1), ("k", "a", 3)], "k string, n string, i int")
     assert pivots.pivot_max(df, ["k"], "n", ["a"], ["i"]).first().a == 3
+
+
+def test_names_are_found(make):
+    df = make([(1, "b", "x"), (1, None, "y"), (2, "a.c", "z"), (2, "b", None)], "k int, n string, v string")
+    assert pivots.names_found(df, "n") == ["a.c", "b"]
+    assert pivots.names_found(df.limit(0), "n") == []
