@@ -569,7 +569,7 @@ _COMMERCIAL = classification.CommercialRules(
       coalesce(p.padrao, char_3) AS padrao, coalesce(p.ambiente, char_4, char_5) AS ambiente,
       char_6 AS conversor, m.unidade_medida_basica, m.prdha AS codigo_hierarquia, p.categoria
     FROM classified m LEFT JOIN produto p ON p.sku = m.sku
-    WHERE m.setor_atividade IN ('LS','HY','MS','LF','01')""",
+    WHERE m.setor_atividade IN {K.COMMERCIAL_SECTORS}""",
 )
 def commercial_view(spark: SparkSession, sf: str) -> DataFrame:
     size = F.col("p_size")
@@ -601,7 +601,7 @@ _URLS = f"""nomes AS (
       SELECT *, CASE WHEN p_type = 'PROMO' THEN ' Açaí "' || p_name || '" 1/2.5 ' ELSE p_name END AS nome FROM paths),
     urls AS (SELECT DISTINCT sku, replace(translate(lower('{_BASE_URL}' || {' || '.join(_slug_sql(i) for i in range(1, 5))} ||
       CASE WHEN p_type = 'SMALL' THEN 'Antigo-' || sku ELSE
-        replace(replace(replace(replace(trim(nome), '"', ''), '/', ''), ' ', '-'), '.', '') || replace(sku, '.', '')
+        replace(regexp_replace(trim(nome), '["/.]', '', 'g'), ' ', '-') || replace(sku, '.', '')
       END), '{K.ACCENTED}', '{K.UNACCENTED}'), '"', '') AS url_catalogo_institucional,
       CASE WHEN p_type = 'SMALL' THEN p_name END AS palavra_chave,
       CASE WHEN p_type = 'SMALL' THEN p_brand END AS produto_relacionado,
