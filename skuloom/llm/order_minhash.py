@@ -2,12 +2,15 @@
 
 A sketch takes the few smallest of all occurrence-labelled five-word pieces under one hash function
 and keeps them in their order in the text; texts that differ by few edits share sketches, texts
-that hold the same pieces in another order do not. Texts that share a sketch are compared with one
-representative of it, never with each other.
+that hold the same pieces in another order do not. Texts that share a sketch form a bucket. They
+are compared with one representative of it, then with its best linked member, and at last all those
+of a bucket that are still in different classes with each other, unless their lengths or words
+alone rule out a link.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import BLANKS, fresh, reach_workers, salted_join, stored, text_of
+from skuloom.llm.common import BLANKS, discard, fresh, reach_workers, salted_join, stored, text_of
 
 #: Words of a piece, pieces of a sketch, sketches of a text, and the least similarity of a link.
 PIECE, CHOSEN, SKETCHES, SIMILARITY = 5, 2, 20, 0.8
@@ -27,6 +30,8 @@ _SEEDS = np.random.default_rng(6).integers(1, 1 << 63, SKETCHES, np.uint64)
 _BAND, _STRETCH = 120, 4096
 #: Words up to which the values of all sketches are formed at once.
 _TOGETHER = 50_000
+#: Counters of words in a profile, and members of a bucket's block that meet those of another one.
+_BINS, _BLOCK = 256, 400
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -149,15 +154,53 @@ def words_key(docs: DataFrame) -> Column:
     return F.unhex(F.md5(plain.cast("binary")))
 
 
+def profile(words: list[str]) -> bytes:
+    """Words counted in ``_BINS`` classes, up to 255 each; an edit changes two counts by one at most."""
+    found = np.bincount((_mix(word_names(words)) % np.uint64(_BINS)).astype(np.int64), minlength=_BINS)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
 def _sketched(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketches(t.split(" ") if t else []) for t in batch.column(1).to_pylist()]
+            words = [t.split(" ") if t else [] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "sketches"]
+                [
+                    batch.column(0),
+                    pa.array(map(sketches, words), pa.list_(pa.int64())),
+                    pa.array(map(len, words), pa.int64()),
+                    pa.array(map(profile, words), pa.binary()),
+                ],
+                ["node", "sketches", "words", "bins"],
             )
 
-    return texts.mapInArrow(run, "node binary, sketches array<bigint>")
+    return texts.mapInArrow(run, "node binary, sketches array<bigint>, words bigint, bins binary")
+
+
+def _bins(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, _BINS).astype(np.int16)
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """Whether profiles of n and m words leave room for a link; each edit replaces one word at most."""
+    change = x - y
+    gone = np.maximum(change, 0).sum(-1, dtype=np.int64)
+    come = gone - change.sum(-1, dtype=np.int64)
+    most = ((1 - least) * np.maximum(n, m) + 1e-9).astype(np.int64)
+    return np.maximum(np.maximum(gone, come), np.abs(n - m)) <= most
+
+
+def _possible(pairs: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) that lengths and word counts do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            good = _may_link(_bins(batch.column(3)), _bins(batch.column(5)), n, m, least)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good))
+
+    both = pairs.join(profiles.toDF("a", "n", "x"), "a").join(profiles.toDF("b", "m", "y"), "b")
+    return both.select("a", "b", "n", "x", "m", "y").mapInArrow(run, "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, least: float) -> DataFrame:
@@ -172,35 +215,107 @@ def _verified(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def candidate_pairs(sketched: DataFrame) -> DataFrame:
-    """(a, b) with a < b: each text and the smallest one that shares a sketch with it.
+def _linked(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
+    """The pairs that are links."""
+    pairs = stored(_possible(pairs, profiles, least), "possible")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = stored(texts.join(nodes, "node").dropDuplicates(["node"]), "pair-texts")
+    filled = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
+    links = stored(_verified(filled.select("a", "b", "x", "y"), least), "verified")
+    discard(own)
+    return links
 
-    The same is done for each two neighbouring sketches together, so that texts find each other
-    inside a bucket that a common passage has made large. Pairs grow with the texts, not with the
-    squares of the buckets; counts and minima are formed before the shuffle.
-    """
-    n = F.size("sketches")
-    both = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.xxhash64(
-            F.element_at("sketches", (i + 1).cast("int")),
-            F.element_at("sketches", (F.pmod(i + 1, n) + 1).cast("int")),
-        ),
-    )
-    keys = F.when(n > 0, F.concat("sketches", both)).otherwise(F.array().cast("array<bigint>"))
-    entries = sketched.select("node", F.explode(keys).alias("key"))
-    least = (
+
+def _ordered(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def _bucket_minima(entries: DataFrame) -> DataFrame:
+    """(key, a) of the buckets of two texts or more; minima are formed before the shuffle."""
+    return (
         entries.groupBy("key")
         .agg(F.min("node").alias("a"), F.max("node").alias("z"))
         .where("a < z")
         .select("key", "a")
     )
-    return (
-        entries.join(stored(least, "sketch-groups").hint("shuffle_hash"), "key")
-        .where("a < node")
-        .select("a", F.col("node").alias("b"))
-        .distinct()
+
+
+def _undecided(entries: DataFrame) -> DataFrame:
+    """Entries (key, node, class, links) of buckets with several classes; adds the bucket's size and
+    ``hub``, its member with the most links."""
+    hub = F.max(F.struct("links", "node", "class")).alias("hub")
+    keys = entries.groupBy("key").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("size"), hub
     )
+    keys = stored(keys.where("low < high").select("key", "size", "hub"), "undecided-keys")
+    return entries.join(keys.hint("shuffle_hash"), "key")
+
+
+def _cross_pairs(entries: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
+    """(a, b) of different classes in one bucket that lengths and word counts do not rule out.
+
+    The members of a bucket are dealt into blocks of about ``_BLOCK``, and each two blocks meet in a
+    task of their own choice; no row stands for a pair before the test.
+    """
+    blocks = F.ceil(F.col("size") / F.lit(_BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    dealt = (
+        entries.join(profiles, "node")
+        .withColumn("blocks", blocks)
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(F.xxhash64("key", low, high).alias("block"), "node", "class", "words", side.alias("side"), "bins")
+    )
+
+    def pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        words, side = table["words"].to_numpy(), table["side"].to_numpy()
+        kind = table["class"].combine_chunks().dictionary_encode().indices.to_numpy()
+        bins = _bins(table["bins"])
+        order = np.argsort(words, kind="stable")
+        words, side, kind, bins = words[order], side[order], kind[order], bins[order]
+        # the longer text of a link has at most this many words
+        ends = np.searchsorted(words, words / least + 1e-6, side="right")
+        one, two = [], []
+        for i in range(len(order)):
+            j = np.arange(i + 1, ends[i])
+            j = j[(kind[j] != kind[i]) & ((side[j] != side[i]) | (side[i] == 2))]
+            if len(j):
+                j = j[_may_link(bins[j], bins[i], words[j], words[i], least)]
+                one.append(np.full(len(j), order[i]))
+                two.append(order[j])
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(one or none), np.concatenate(two or none)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is None:
+                table, rest = rest, None
+            else:
+                table = pa.Table.from_batches([batch])
+                table = pa.concat_tables([rest, table]) if rest is not None else table
+            if table is None or not table.num_rows:
+                continue
+            key = table["block"].to_numpy()
+            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            if batch is not None:  # the last block may go on in the next batch
+                rest = table.slice(cuts[-2])
+                cuts.pop()
+            for begin, end in itertools.pairwise(cuts):
+                if end - begin < 2:
+                    continue
+                part = table.slice(begin, end - begin)
+                one, two = pairs_of(part)
+                if len(one):
+                    node = part["node"].combine_chunks()
+                    yield pa.RecordBatch.from_arrays(
+                        [node.take(pa.array(one)), node.take(pa.array(two))], ["x", "y"]
+                    )
+
+    met = dealt.repartition("block").sortWithinPartitions("block")
+    return met.mapInArrow(run, "x binary, y binary").select(*_ordered("x", "y")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,18 +350,59 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def _with_classes(table: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``table`` with the class and the number of links of each node."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
+    known = stored(classes.join(degree.toDF("node", "links"), "node"), "known")
+    return table.join(known, "node", "left").withColumns(
+        {"class": F.coalesce("class", "node"), "links": F.coalesce("links", F.lit(0))}
+    )
+
+
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(node, class) of texts with links, and the verified links (a, b) between different texts."""
+    """(node, class) of texts with links, and the verified links (a, b) between different texts.
+
+    Three rounds: each text and the smallest one of its bucket; where a bucket still has several
+    classes, each text and the bucket's member with the most links; then all texts of a bucket that
+    are in different classes. After that no link between two classes of one bucket is untested.
+    """
     reach_workers(docs.sparkSession)
     plain = F.trim(F.regexp_replace(text_of(docs), BLANKS, " ")).alias("plain")
     texts = docs.select(words_key(docs).alias("node"), plain)
-    sketched = stored(_sketched(texts), "sketches").dropDuplicates(["node"])
-    pairs = stored(candidate_pairs(sketched), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    own = stored(texts.join(nodes, "node").dropDuplicates(["node"]), "pair-texts")
-    filled = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
-    links = stored(_verified(filled.select("a", "b", "x", "y"), least), "verified")
-    return components(links), links
+    sketched = stored(stored(_sketched(texts), "sketches").dropDuplicates(["node"]), "sketched")
+    profiles = sketched.select("node", "words", "bins")
+
+    def entries(table: DataFrame) -> DataFrame:
+        rest = [c for c in table.columns if c in ("class", "links")]
+        return table.select("node", *rest, F.explode("sketches").alias("key"))
+
+    nodes = sketched.select("node", "sketches")
+    least_of = stored(_bucket_minima(entries(nodes)), "sketch-groups")
+    grouped = entries(nodes).join(least_of.hint("shuffle_hash"), "key").where("a < node")
+    tested = stored(grouped.select("a", F.col("node").alias("b")).distinct(), "pairs")
+    links = _linked(tested, texts, profiles, least)
+    classes = components(links)
+
+    named = entries(_with_classes(nodes, classes, links))
+    named = named.join(least_of.hint("shuffle_hash"), "key").where("a <> node").drop("a")
+    open_ = stored(_undecided(named), "undecided")
+    by_hub = open_.where("class <> hub.class").withColumn("other", F.col("hub.node"))
+    by_hub = by_hub.select(*_ordered("node", "other")).distinct()
+    by_hub = stored(by_hub.join(tested, ["a", "b"], "left_anti"), "hub-pairs")
+    more = _linked(by_hub, texts, profiles, least)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        classes = components(links)
+        again = _with_classes(open_.select("key", "node"), classes, links)
+        open_ = stored(_undecided(again), "undecided")
+    tested = tested.unionByName(by_hub)
+    cross = _cross_pairs(open_.select("key", "node", "class", "size"), profiles, least)
+    cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "cross-pairs")
+    more = _linked(cross, texts, profiles, least)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        classes = components(links)
+    return classes, links
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -204,3 +204,20 @@ def test_near_duplicates(docs):
     assert left.count() == len(kept)
     assert near_duplicates(docs([])).count() == 0
     assert similar(["a"] * 10, ["a"] * 8) and not similar(["a"] * 10, ["a"] * 7)
+
+
+def edited(base: list[str], share: float, rng: random.Random) -> str:
+    own = list(base)
+    for at in rng.sample(range(len(own)), round(share * len(own))):
+        own[at] = f"new{rng.random()}"
+    return " ".join(own)
+
+
+def test_edited_copies_meet_across_the_minimum(docs):
+    """Copies are no links of each other, only of the base, which is seldom a bucket's minimum."""
+    rng = random.Random(11)
+    base = words(77, 200).split()
+    rows = [(k, edited(base, 0.12, rng), "s") for k in range(150)] + [(200, " ".join(base), "s")]
+    near = near_duplicates(docs(rows)).collect()
+    largest = max(r.class_size for r in near)
+    assert largest >= 130 and sum(r.class_size == 1 for r in near) == len(rows) - largest
