@@ -19,6 +19,7 @@ from skuloom.llm.order_minhash import (
     edit_distance,
     near_duplicates,
     similar,
+    sketches,
 )
 from skuloom.llm.quality_rules import LineLimits, clean_documents, quality_verdicts
 from skuloom.llm.sharding import MULTIPLIER, shard_documents
@@ -221,3 +222,25 @@ def test_edited_copies_meet_across_the_minimum(docs):
     near = near_duplicates(docs(rows)).collect()
     largest = max(r.class_size for r in near)
     assert largest >= 130 and sum(r.class_size == 1 for r in near) == len(rows) - largest
+
+
+@pytest.mark.parametrize("n", [6, 9, 14, 15, 20, 60, 100, 110, 200])
+def test_search_reaches_the_link_limit(n):
+    """Pairs at edit similarity 0.80 to 0.90 share a sketch."""
+    rng = random.Random(n)
+    for least in (0.8, 0.85, 0.9):
+        met = [0, 0]
+        for k in range(60):
+            base = words(1000 * n + k, n).split()
+            other = edited(base, int((1 - least) * n + 1e-9) / n, rng).split()
+            shorter = base[: n - int((1 - least) * n + 1e-9)]
+            met[0] += not set(sketches(base)).isdisjoint(sketches(other))
+            met[1] += not set(sketches(base)).isdisjoint(sketches(shorter))
+        assert min(met) >= (60 if n <= 14 else 59)
+
+
+def test_short_near_duplicates(docs):
+    rows = [(1, "a b c d e", "s"), (2, "a b x d e", "s"), (3, "a b c d", "s"), (4, "a b c", "s")]
+    rows += [(5, "k l m n o p q r s t", "s"), (6, "k l m x o p y r s t", "s"), (7, "k l m n o p z y x t", "s")]
+    got = {r.doc_id: r.class_id for r in near_duplicates(docs(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7}
