@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,6 +19,9 @@ from skuloom.llm.common import reach_workers, running_starts, stored, text_of
 END = 1
 #: Parts in which the pieces of one length are numbered.
 BLOCKS = 512
+#: Blanks in a row from which a text goes to the tokenizers library: the compiled encoder's pattern
+#: runs out of stack at about a million.
+LONG_BLANKS = 200_000
 #: What makes two pieces the same; also the order of their ranks.
 _PIECE_KEY = ["length", "doc_id", "doc_tokens", "start", "ids_crc32"]
 
@@ -34,6 +38,23 @@ def _encoder(path: str):
     )
 
 
+@lru_cache(maxsize=2)
+def _library(path: str):
+    """The same vocabulary in the tokenizers library: slower, but without a limit on blanks."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def encoded(text: str, path: str) -> np.ndarray:
+    """Ids of any text."""
+    if len(text) >= LONG_BLANKS and any(
+        m.end() - m.start() >= LONG_BLANKS for m in re.finditer(r"\s+", text)
+    ):
+        return np.array(_library(path).encode(text, add_special_tokens=False).ids, np.uint32)
+    return _encoder(path).encode_to_numpy(text, allowed_special="all")
+
+
 def pieces(docs: DataFrame, path: str, size: int) -> DataFrame:
     """Each document's ids and the final id, cut into full sequences and a remainder.
 
@@ -43,11 +64,10 @@ def pieces(docs: DataFrame, path: str, size: int) -> DataFrame:
     reach_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
         for batch in batches:
             row, start, length, crc, tokens = [], [], [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                ids = encoder.encode_to_numpy(text, allowed_special="all")
+                ids = encoded(text, path)
                 raw = np.append(ids, END).astype("<u4").tobytes()
                 n = len(ids) + 1
                 for at in range(0, n, size):

@@ -184,3 +184,13 @@ def test_oracles_hold(spark):
     con = compare.connect("/root/testdata/sf0.001")
     for name, sql in ORACLES.items():
         assert compare.differences(QUERIES[name](spark, "/root/testdata/sf0.001"), con, sql) is None
+
+
+def test_packing_of_long_blank_runs(docs, library):
+    rows = [(1, "a" + " " * 2_500_000 + "b<|endoftext|>"), (2, "a" + "\n" * 1_200_000), (3, "c")]
+    got = pack_documents(docs(rows), PATH).collect()
+    for i, text in rows:
+        ids = [*library.encode(text, add_special_tokens=False).ids, END]
+        own = sorted((r.start, r.length, r.ids_crc32) for r in got if r.doc_id == i)
+        assert sum(n for _, n, _ in own) == len(ids)
+        assert all(zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()) == c for s, n, c in own)
