@@ -26,15 +26,17 @@ _WINDOW = 8
 class LineLimits:
     """When a line is boilerplate, and when a document has too little left without such lines.
 
-    A line goes when more than ``share`` of the distinct texts of its host have it, and more than
-    ``least`` of them; copies of one text count once. A document is depleted when fewer than
-    ``words_left`` words stay, or less than ``part_left`` of its words.
+    A line goes when more than ``most`` documents of its host have it, or more than ``share`` of them
+    and more than ``least``. Rows of one id and text are one document; copies under other ids count.
+    A document is depleted when fewer than ``words_left`` words stay, or less than ``part_left`` of
+    its words.
     """
 
     share: float = 0.1
-    least: int = 50
+    least: int = 3
     words_left: int = 20
     part_left: float = 0.2
+    most: int = 50
 
 
 def line_key(line: str) -> bytes | None:
@@ -83,35 +85,40 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def frequent_lines(docs: DataFrame, limits: LineLimits) -> DataFrame:
-    """(host, line) above the limits: lines counted by distinct texts of a host that have them."""
+    """(host, line) above the limits: lines counted by documents of a host that have them."""
     reach_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, lines, texts = [], [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
+            owner, lines, documents = [], [], []
+            both = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for k, (text, own_id) in enumerate(both):
                 own = {line_key(line) for line in text.split("\n")} - {None}
-                name = hashlib.blake2b(text.encode(), digest_size=16).digest()
+                plain = f"{'-' if own_id is None else '+' + own_id}\0{text}"
+                name = hashlib.blake2b(plain.encode(), digest_size=16).digest()
                 owner += [k] * (len(own) + 1)
-                lines += [b"", *own]  # the empty key counts the host's texts
-                texts += [name] * (len(own) + 1)
+                lines += [b"", *own]  # the empty key counts the host's documents
+                documents += [name] * (len(own) + 1)
             host = batch.column(0).take(pa.array(owner, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [host, pa.array(lines, pa.binary()), pa.array(texts, pa.binary())],
-                ["host", "line", "text"],
+                [host, pa.array(lines, pa.binary()), pa.array(documents, pa.binary())],
+                ["host", "line", "document"],
             )
 
     host = F.coalesce(docs["source"].cast("string"), F.lit("")).alias("host")
-    found = docs.select(host, text_of(docs)).mapInArrow(
-        run, "host string, line binary, text binary"
+    found = docs.select(host, text_of(docs), docs["doc_id"].cast("string")).mapInArrow(
+        run, "host string, line binary, document binary"
     )
-    counts = found.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
-    counts = stored(counts.where(F.col("texts") > limits.least), "lines")
-    hosts = counts.where("line = X''").select("host", F.col("texts").alias("all_texts"))
+    counts = found.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
+    counts = counts.where(F.col("documents") > min(limits.least, limits.most))
+    counts = stored(counts, "lines")
+    hosts = counts.where("line = X''").select("host", F.col("documents").alias("total"))
+    n = F.col("documents")
+    shared = (n > limits.least) & (n > F.lit(limits.share) * F.col("total"))
     return (
         counts.where("line <> X''")
         .join(hosts, "host")
-        .where(F.col("texts") > F.lit(limits.share) * F.col("all_texts"))
+        .where((n > limits.most) | shared)
         .select("host", "line")
     )
 

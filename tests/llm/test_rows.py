@@ -244,3 +244,15 @@ def test_short_near_duplicates(docs):
     rows += [(5, "k l m n o p q r s t", "s"), (6, "k l m x o p y r s t", "s"), (7, "k l m n o p z y x t", "s")]
     got = {r.doc_id: r.class_id for r in near_duplicates(docs(rows)).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7}
+
+
+@pytest.mark.parametrize("n, few, many", [(10, 3, 4), (50, 5, 6), (3000, 50, 51)])
+def test_frequent_lines_of_any_host(docs, n, few, many):
+    """Default limits on a small, a middle and a large host: the rarer line stays, the other goes."""
+    rows = [(k, f"{'rare line' if k < few else k}\n{'shared line' if k < many else k}\n{words(k, 30)}", "h")
+            for k in range(n)]
+    rows += [(0, rows[0][1], "h")] * 60  # repeated rows are one document
+    left = {r.doc_id: r.text.split("\n") for r in clean_documents(docs(rows)).collect()}
+    assert sorted(left) == list(range(n))
+    assert sum("rare line" in x for x in left.values()) == few
+    assert not any("shared line" in x for x in left.values())
