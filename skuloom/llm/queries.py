@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skuloom.llm.bpe import round_trip, token_counts
+from skuloom.llm.common import digest
 from skuloom.llm.exact_dedup import exact_groups
+from skuloom.llm.fill_middle import fill_middle, restored
 from skuloom.llm.order_minhash import near_duplicates
 from skuloom.llm.packing import pack_documents
 from skuloom.llm.quality_model import quality_scores
 from skuloom.llm.quality_rules import quality_verdicts
 from skuloom.llm.sharding import shard_documents
+from skuloom.llm.spelling import spelling_variants
 from skuloom.llm.suffix_dedup import suffix_dedup
+from skuloom.llm.suffix_tree import language_scores
 from skuloom.llm.toxicity import toxicity_scores
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +113,61 @@ def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), bpe_file(), size=2048)
+
+
+_FILL_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), cut AS (
+  SELECT doc_id, text, units, len(units) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS c1,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                OR contains(text, '<M>') THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm'
+              ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT doc_id, text, n, form,
+         array_to_string(units[1:least(c1, c2)], '') AS head,
+         array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS body,
+         array_to_string(units[greatest(c1, c2) + 1:], '') AS tail
+  FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(head) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(body) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || body
+                        ELSE '<S>' || tail || '<P>' || head || '<M>' || body END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@_query("op11_fill_middle", _FILL_SQL)
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle(documents(spark, sf_dir))
+    back = restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(back).alias("restored_sha256"),
+    )
+
+
+@_query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+@_query("op13_suffix_tree_scores")
+def op13_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(documents(spark, sf_dir))
