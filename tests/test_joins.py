@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from skuloom.operators.joins import Link, join_normalised, link_star, lookup_join, salt_count
+from skuloom.operators.joins import SPREAD, Link, heavy_keys, join_normalised, link_star, lookup_join
 
 
 @pytest.fixture
@@ -37,12 +37,6 @@ def test_other_join_types_are_refused(hot, lookup):
         lookup_join(hot, lookup, ["k"], "full_outer")
 
 
-def largest_share(df):
-    """Share of the rows that the fullest partition holds."""
-    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    return max(counts) / sum(counts)
-
-
 def shuffle_join_conf(spark, adaptive):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -51,10 +45,7 @@ def shuffle_join_conf(spark, adaptive):
 
 @pytest.fixture
 def restore(spark):
-    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
-             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-             "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-             "spark.sql.adaptive.skewJoin.skewedPartitionFactor"]
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
     before = {n: spark.conf.get(n) for n in names}
     yield
     for name, value in before.items():
@@ -62,27 +53,29 @@ def restore(spark):
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_without_adaptive_execution_the_hot_key_is_salted(spark, hot, lookup, restore):
-    shuffle_join_conf(spark, "false")
-    joined = lookup_join(hot, lookup, ["k"], "inner")
-    plain = hot.join(lookup, "k")
-    assert joined.count() == plain.count()
-    hottest = largest_share(plain)
-    assert hottest > 0.5
-    assert largest_share(lookup_join(hot, lookup, ["k"], "inner", salts=16)) < hottest / 2
-    assert salt_count(hot) == 4
-
-
-def test_adaptive_execution_splits_the_hot_key(spark, hot, lookup, restore):
-    shuffle_join_conf(spark, "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2KB")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
-    wide = hot.withColumn("pad", F.sha2(F.monotonically_increasing_id().cast("string"), 256))
-    joined = lookup_join(wide, lookup, ["k"], "left")
-    joined.collect()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "skew=true" in plan
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_measured_split_equals_plain_join(spark, hot, lookup, restore, how, adaptive):
+    shuffle_join_conf(spark, adaptive)
+    left = hot.unionByName(spark.range(50).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v")))
+    plain = left.join(lookup, "k", how)
+    split = lookup_join(left, lookup, ["k"], how)
+    assert split.columns == plain.columns
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_only_heavy_keys_get_sub_keys(spark, hot):
+    marked = heavy_keys(hot, ["k"]).collect()
+    (code,) = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [(r[0], r[1]) for r in marked] == [(code, -(-SPREAD * tasks // 3))]
+    assert heavy_keys(hot.limit(0), ["k"]).count() == 0
+
+
+def test_a_small_lookup_is_left_to_spark(spark, hot, lookup, restore):
+    assert "approx_top_k" not in lookup_join(hot, lookup, ["k"])._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "approx_top_k" in lookup_join(hot, lookup, ["k"])._jdf.queryExecution().toString()
 
 
 def test_join_normalised(make):
