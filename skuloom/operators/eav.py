@@ -10,6 +10,7 @@ from skuloom.functions.text import is_blank, joined, with_unit
 from skuloom.functions.types import columns_by_family, family_of, stored_type
 from skuloom.operators.control import keep_active
 from skuloom.operators.pivots import pivot_max
+from skuloom.sources.snapshots import publish_slices
 from skuloom.sources.tables import union_tables
 
 MAX_UNIT_ATTRIBUTES = 10_000
@@ -126,6 +127,19 @@ def table_name(family: str) -> str:
     return f"atributo_{family}"
 
 
+def publish_families(
+    df: DataFrame, key: str, origin: str, load_time: Column, root: str
+) -> list[str]:
+    """Unpivot a table and replace its slice in every typed table below ``root``; the tables written.
+
+    All tables change in one commit or none does. Families that the source has no column of any
+    more lose its slice as well.
+    """
+    frames = unpivot_by_family(df, key, origin, load_time)
+    named = {table_name(family): frame for family, frame in frames.items()}
+    return publish_slices(df.sparkSession, root, named, slices=[origin])
+
+
 def wide_product(tables: list[DataFrame], requested: list[str]) -> DataFrame:
     """One row per sku, one text column per requested attribute holding its largest value.
 

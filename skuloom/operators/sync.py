@@ -78,15 +78,19 @@ def update_matched(
     )
 
 
+def shop_urls(shop: DataFrame, suffix: str, url_column: str) -> DataFrame:
+    """(sku, url) of the shop's entries; the reference id without ``suffix`` is the sku."""
+    return shop.select(
+        F.replace(F.trim("ProductRefId"), F.lit(suffix), F.lit("")).alias("sku"),
+        F.col("DetailUrl").alias(url_column),
+    )
+
+
 def update_shop_urls(
     products: DataFrame, shop: DataFrame, suffix: str, url_column: str
 ) -> DataFrame:
     """Shop url of every product whose shop reference id, without ``suffix``, is its sku."""
-    urls = shop.select(
-        F.replace(F.trim("ProductRefId"), F.lit(suffix), F.lit("")).alias("sku"),
-        F.col("DetailUrl").alias(url_column),
-    )
-    return update_matched(products, urls, "sku", "sku", url_column)
+    return update_matched(products, shop_urls(shop, suffix, url_column), "sku", "sku", url_column)
 
 
 def sync_changes(

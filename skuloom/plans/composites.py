@@ -13,6 +13,7 @@ from skuloom.operators import (
     control,
     eav,
     hierarchy,
+    merge,
     publish,
     quality,
     references,
@@ -23,7 +24,7 @@ from skuloom.plans import inputs as I
 from skuloom.plans import oracle as O
 from skuloom.plans.registry import query
 from skuloom.session import new_dir
-from skuloom.sources import documents, tables
+from skuloom.sources import documents, snapshots, tables
 
 ORIGIN = "catalogo"
 
@@ -84,6 +85,19 @@ def replace_slice(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, path).select("origem", "sku", "nome_produto", "atributo", "valor")
 
 
+@query(
+    "s08_empty_reload",
+    f"""WITH {O.ERP_STRING} SELECT origem, sku, nome_produto, atributo, valor FROM erp_string""",
+)
+def empty_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources are loaded; a reload of the first finds nothing, so only its slice goes."""
+    root = new_dir(spark, "snapshot")
+    store, erp = _eav(spark, sf), _erp_frames(spark, sf)["string"]
+    snapshots.publish_slices(spark, root, {"atributo_string": store.unionByName(erp)})
+    snapshots.publish_slices(spark, root, {"atributo_string": store.where("sku IS NULL")}, slices=[ORIGIN])
+    return snapshots.read_snapshot(spark, root, "atributo_string").drop("data_ingestao")
+
+
 @query(
     "s10_upsert_all",
     f"""WITH {O.ORDERS} SELECT coalesce(n.sku, a.sku) AS sku, coalesce(n.status, a.status) AS status,
@@ -95,6 +109,21 @@ def upsert_all(spark: SparkSession, sf: str) -> DataFrame:
     return sync.upsert_all(target, I.order_stage(spark, sf), ["sku", "status"])
 
 
+_MERGED_ORDERS = f"""WITH {O.ORDERS} SELECT coalesce(n.sku, a.sku) AS sku, coalesce(n.status, a.status) AS status,
+    coalesce(n.prioridade, a.prioridade) AS prioridade, coalesce(n.valor, a.valor) AS valor
+    FROM alvo a FULL JOIN novo n ON a.sku = n.sku AND a.status = n.status"""
+
+
+@query("s10_bucket_merge", _MERGED_ORDERS)
+def bucket_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert into a table of key buckets, of which only the touched ones are rewritten."""
+    root = new_dir(spark, "buckets")
+    target = I.order_target(spark, sf).drop("created_at", "updated_at")
+    merge.create_buckets(target, root, "pedidos", ["sku", "status"], buckets=16)
+    merge.merge_buckets(spark, root, "pedidos", I.order_stage(spark, sf))
+    return snapshots.read_snapshot(spark, root, "pedidos")
+
+
 _SHOP = """SELECT CAST(p_partkey AS VARCHAR) AS sku, CASE WHEN p_size = 7 THEN NULL WHEN p_type = 'PROMO'
     THEN 'https://loja.example/v2/' || p_partkey ELSE 'https://loja.example/v1/' || p_partkey END AS url_loja
     FROM part"""
@@ -108,6 +137,18 @@ def update_matched(spark: SparkSession, sf: str) -> DataFrame:
     return sync.update_shop_urls(target, I.shop_skus(spark, sf), K.PARENT_REFERENCE_SUFFIX, "url_loja")
 
 
+@query("s11_bucket_update", _SHOP)
+def bucket_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The same shop urls in a table of key buckets; parents' references lose their suffix first."""
+    root = new_dir(spark, "buckets")
+    none = F.lit(None).cast("string")
+    target = I.table(spark, sf, "part").select(I.text("p_partkey").alias("sku"), none.alias("url_loja"))
+    merge.create_buckets(target, root, "produtos", ["sku"], buckets=16)
+    urls = sync.shop_urls(I.shop_skus(spark, sf), K.PARENT_REFERENCE_SUFFIX, "url_loja")
+    merge.update_buckets(spark, root, "produtos", urls, "sku", "url_loja")
+    return snapshots.read_snapshot(spark, root, "produtos")
+
+
 def _changes(spark: SparkSession, sf: str) -> DataFrame:
     changes = sync.sync_changes(I.order_target(spark, sf), I.order_stage(spark, sf), ["sku"], I.load_time())
     return changes.withColumns({c: F.col(c).cast("string") for c in ("created_at", "updated_at")})
@@ -301,6 +342,35 @@ def unpivot_float(spark: SparkSession, sf: str) -> DataFrame:
     return _erp_frames(spark, sf)["float"].drop("data_ingestao")
 
 
+@query(
+    "d10_publish_families",
+    """SELECT 'part' AS origem, CAST(p_partkey AS VARCHAR) AS sku, a.tabela, a.atributo, a.valor
+    FROM part, LATERAL (
+      SELECT 'atributo_string' AS tabela, 'p_name' AS atributo, p_name AS valor
+      UNION ALL SELECT 'atributo_string', 'p_brand', p_brand UNION ALL SELECT 'atributo_string', 'p_type', p_type
+      UNION ALL SELECT 'atributo_bigint', 'p_size', CAST(p_size AS VARCHAR)
+      UNION ALL SELECT 'atributo_float', 'p_retailprice', CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR)) a
+    UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), b.tabela, b.atributo, b.valor
+    FROM supplier, LATERAL (
+      SELECT 'atributo_string' AS tabela, 's_name' AS atributo, s_name AS valor
+      UNION ALL SELECT 'atributo_bigint', 's_nationkey', CAST(s_nationkey AS VARCHAR)) b""",
+)
+def publish_families(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources in the typed tables; the second is reloaded without one of its columns."""
+    root = new_dir(spark, "snapshot")
+    suppliers = I.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    eav.publish_families(suppliers, "s_suppkey", "supplier", I.load_time(), root)
+    written = eav.publish_families(I.table(spark, sf, "part"), "p_partkey", "part", I.load_time(), root)
+    eav.publish_families(suppliers.drop("s_acctbal"), "s_suppkey", "supplier", I.load_time(), root)
+    found = snapshots.current(spark, root)
+    frames = []
+    for name in written:
+        kind = "decimal(18,2)" if name == eav.table_name("float") else "string"
+        rows = snapshots.read_parts(spark, found, name).withColumn("valor", F.col("valor").cast(kind).cast("string"))
+        frames.append(rows.select("origem", "sku", F.lit(name).alias("tabela"), "atributo", "valor"))
+    return tables.union_tables(frames)
+
+
 @query("d11_wide_product", f"WITH {O.WIDE} SELECT * FROM wide")
 def wide_product(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(spark, sf)
