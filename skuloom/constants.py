@@ -57,3 +57,4 @@ IMAGE_TABLES = ("imagem", "documento;imagem")
 
 # Audit columns that a publish target expects to be present and blank.
 BLANK_AUDIT_COLUMNS = ("created_by_id", "updated_by_id", "sitemap_exclude")
+STAGE_AUDIT_COLUMNS = ("created_at", "updated_at", *BLANK_AUDIT_COLUMNS)

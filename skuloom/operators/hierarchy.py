@@ -13,6 +13,8 @@ from skuloom.functions.text import norm
 from skuloom.operators.joins import lookup_join
 
 LEVELS = 5
+#: Combinations of one product that a task expands at a time.
+BLOCK = 10_000
 
 
 def hierarchy_dim(nodes: DataFrame, load_time: Column) -> DataFrame:
@@ -59,11 +61,9 @@ def hierarchy_link(
     gathered = stacked.groupBy("sku").agg(
         *[F.collect_set(F.when(F.col("tipo") == kind, F.col("ligacao"))).alias(kind) for kind in sources]
     )
-    rows = gathered
-    for kind in sources:
-        rows = rows.withColumn(kind, F.explode_outer(kind))
     return (
-        rows.select(
+        combinations(gathered, list(sources))
+        .select(
             "sku",
             F.coalesce(*[F.col(f"{kind}.brand") for kind in sources]).alias("marca"),
             *[F.col(f"{kind}.no").alias(kind) for kind in sources],
@@ -73,6 +73,33 @@ def hierarchy_link(
     )
 
 
+def combinations(df: DataFrame, arrays: list[str], block: int = BLOCK) -> DataFrame:
+    """Every combination of one element of each array, as ``explode_outer`` of all of them gives.
+
+    Combinations are numbered, and the numbers cut into blocks: a row with many of them is dealt as
+    blocks to many tasks, each of which expands at most ``block`` rows from it. Empty and null
+    arrays give one null.
+    """
+    rest = [c for c in df.columns if c not in arrays]
+    sizes = [F.greatest(F.coalesce(F.size(a), F.lit(0)), F.lit(1)).cast("long") for a in arrays]
+    total = reduce(lambda x, y: x * y, sizes)
+    counted = df.withColumn("_total", total)
+    few = counted.where(F.col("_total") <= block).withColumn("_bloco", F.lit(0).cast("long"))
+    many = counted.where(F.col("_total") > block).withColumn(
+        "_bloco", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_total") - 1) / block)))
+    )
+    dealt = few.unionByName(many.repartition(F.col("_bloco"), F.xxhash64(*rest)))
+    first = F.col("_bloco") * block
+    last = F.least(first + block, F.col("_total")) - 1
+    numbered = dealt.withColumn("_numero", F.explode(F.sequence(first, last)))
+    picked, unit = [], F.lit(1).cast("long")
+    for name, size in zip(arrays, sizes, strict=True):
+        place = F.floor(F.col("_numero") / unit) % size
+        picked.append(F.get(name, place.cast("int")).alias(name))
+        unit = unit * size
+    return numbered.select(*rest, *picked)
+
+
 def site_paths(products: DataFrame, root: str = K.SITE_ROOT_NODE) -> DataFrame:
     """Distinct (sku, path position, deepest node) of the site paths.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.text import dashed, fold_accents, is_blank, without
+from skuloom.operators.ids import surrogate_id
 from skuloom.operators.joins import lookup_join
 
 
@@ -131,3 +132,15 @@ def publish_projection(
             }
         )
     )
+
+
+def publish_stage(
+    df: DataFrame, columns: list[str], order: list[str], blank: tuple[str, ...] = K.STAGE_AUDIT_COLUMNS
+) -> DataFrame:
+    """Distinct rows of a table as its target receives them: blank audit columns and a dense id.
+
+    Ids run from 1 in the given order; ties are settled by the other columns.
+    """
+    rows = df.select(*columns).distinct()
+    numbered = surrogate_id(rows, order)
+    return numbered.select(*columns, *[F.lit("").alias(c) for c in blank], "id")

@@ -10,6 +10,7 @@ from skuloom.functions.text import blank_fill, encode_url, is_blank, norm
 from skuloom.operators.eav import attribute_rows, value_rows
 from skuloom.operators.joins import lookup_join
 from skuloom.session import materialise
+from skuloom.sources.tables import append_evolving, overwrite_table
 
 LEFT, RIGHT = "site", "catalogo"
 
@@ -284,3 +285,44 @@ def url_health(
         .distinct()
     )
     return lookup_join(targets, bad, ["url"], "inner").select("origem", "sku", "url", "status", "situacao")
+
+
+URL_STATE = ["status", "situacao"]
+
+
+def url_verdicts(crawl: DataFrame, load_time: Column, phrase: str = K.NOT_FOUND_PHRASE) -> DataFrame:
+    """One verdict per url of a crawl, good ones too (no ``situacao``), with the time of the load.
+
+    Bodies are judged before the shuffle. Of several results for a url the largest status counts.
+    """
+    judged = crawl.select(
+        F.trim("url").alias("url"), F.struct("status", crawl_verdict(phrase).alias("situacao")).alias("estado")
+    )
+    worst = judged.where(F.col("url").isNotNull()).groupBy("url").agg(F.max("estado").alias("estado"))
+    return worst.select("url", "estado.*", load_time.alias("data_ingestao"))
+
+
+def append_url_log(crawl: DataFrame, path: str, load_time: Column, phrase: str = K.NOT_FOUND_PHRASE) -> str:
+    """Append the verdicts of a crawl to the log; what was logged before stays."""
+    return append_evolving(url_verdicts(crawl, load_time, phrase), path)
+
+
+def latest_urls(log: DataFrame) -> DataFrame:
+    """The newest verdict of every url; of several from one time the largest."""
+    newest = log.groupBy("url").agg(F.max(F.struct("data_ingestao", *URL_STATE)).alias("ultimo"))
+    return newest.select("url", "ultimo.*").select("url", *URL_STATE, "data_ingestao")
+
+
+def due_urls(targets: DataFrame, log: DataFrame, before: Column) -> DataFrame:
+    """Distinct target urls that were never judged, or last judged before a time.
+
+    Both sides are reduced to one row per url before they meet, so no url is hot.
+    """
+    urls = targets.select(F.trim("url").alias("url")).where(F.col("url") != "").distinct()
+    recent = latest_urls(log).where(F.col("data_ingestao") >= before)
+    return urls.join(recent.select("url"), "url", "left_anti")
+
+
+def compact_urls(log: DataFrame, path: str) -> str:
+    """Write the newest verdicts as a new log, see ``latest_urls``; the old one may go afterwards."""
+    return overwrite_table(latest_urls(log), path)

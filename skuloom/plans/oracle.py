@@ -1,5 +1,9 @@
 """SQL text shared by the oracles: the same derived inputs, starting from the given tables."""
 
+# Attributes asked for at each level of a path, as (level, attribute, required).
+LEVEL_RULE_ROWS = """(1, 'TIPO', true), (1, 'ref_x', true), (2, 'tamanho', true), (2, 'retorno', false),
+    (3, 'preco', true), (3, 'cor', true), (4, 'hierarquia_web', true), (5, 'peso', true), (6, 'largura', true)"""
+
 BRAND = "CASE WHEN p_size <> 17 THEN p_brand END"
 PATH = """list_slice(['CAT', p_brand, p_brand || '-' || p_type, 'S' || CAST(p_size AS VARCHAR),
     'L4', 'L5'], 1, p_size % 6 + 1)"""
@@ -125,6 +129,22 @@ mudancas AS (
       coalesce(n.prioridade, a.prioridade) AS prioridade, coalesce(n.valor, a.valor) AS valor
     FROM alvo a FULL JOIN novo n ON a.sku = n.sku))"""
 
+def matrix_all(rule: str) -> str:
+    """Required and optional attributes, for the products whose site flag passes ``rule``."""
+    return f"""{EAV}, {PATHS},
+pedidos AS (
+  SELECT DISTINCT p.sku, r.atributo, r.obrigatorio
+  FROM paths p JOIN (SELECT * FROM (VALUES {LEVEL_RULE_ROWS}) v(nivel, atributo, obrigatorio)) r
+    ON r.nivel <= least(len(p.path), 5)
+  WHERE p.p_size <> 13 AND lower(r.atributo) NOT LIKE '%ref%' AND lower(r.atributo) <> 'hierarquia_web'
+    AND p.sku IN (SELECT sku FROM eav WHERE lower(atributo) = 'status_exib_site' AND {rule})),
+achados AS (SELECT DISTINCT lower(trim(sku)) AS s, lower(trim(atributo)) AS a FROM eav),
+matriz AS (
+  SELECT p.sku, CASE WHEN p.obrigatorio THEN 'Sim' ELSE 'Não' END AS obrigatorio,
+    CASE WHEN f.a IS NOT NULL THEN 'Sim' ELSE 'Não' END AS preenchido
+  FROM pedidos p LEFT JOIN achados f ON f.s = lower(trim(p.sku)) AND f.a = lower(trim(p.atributo)))"""
+
+
 MATRIX = f"""{EAV}, {PATHS},
 pedidos AS (
   SELECT DISTINCT p.sku, r.atributo

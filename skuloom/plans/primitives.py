@@ -342,12 +342,44 @@ def surrogate_id(spark: SparkSession, sf: str) -> DataFrame:
     return ids.surrogate_id(I.table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"])
 
 
-@query("w02_hash_id")
+@query(
+    "w01_increment",
+    """WITH velhos AS (
+      SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS id
+      FROM customer WHERE c_custkey % 3 > 0),
+    novos AS (
+      SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment, c_custkey)
+        + (SELECT max(id) FROM velhos) AS id
+      FROM customer WHERE c_custkey % 3 = 0)
+    SELECT * FROM velhos WHERE c_custkey % 7 > 0 UNION ALL SELECT * FROM novos WHERE c_custkey % 7 > 0
+    UNION ALL SELECT c_custkey, 'NOVO', id FROM velhos WHERE c_custkey % 7 = 0
+    UNION ALL SELECT c_custkey, 'NOVO', id FROM novos WHERE c_custkey % 7 = 0""",
+)
+def surrogate_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """Two thirds of the customers have ids; then all are numbered, some with other attributes."""
+    customers = I.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    first = ids.surrogate_id(customers.where("c_custkey % 3 > 0"), ["c_mktsegment"])
+    rows = ids.surrogate_increment(first, customers, ["c_custkey"], ["c_mktsegment"])
+    return rows.withColumn("c_mktsegment", F.when(F.expr("c_custkey % 7 = 0"), "NOVO").otherwise(F.col("c_mktsegment")))
+
+
+_HASH_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS sku, p_name,
+    CAST('0x' || substr(md5(length(CAST(p_partkey AS VARCHAR)) || ':' || p_partkey), 1, 15) AS BIGINT) AS id FROM part"""
+
+
+@query("w02_hash_id", _HASH_SQL)
 def hash_id(spark: SparkSession, sf: str) -> DataFrame:
     parts = I.table(spark, sf, "part").select(I.text("p_partkey").alias("sku"), "p_name")
     return ids.hash_id(parts, ["sku"])
 
 
+@query("w02_resolved_id", _HASH_SQL)
+def resolved_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ids where none collide; ``tests`` force collisions with fewer bits."""
+    parts = I.table(spark, sf, "part").select(I.text("p_partkey").alias("sku"), "p_name")
+    return ids.resolved_id(parts, ["sku"])
+
+
 @query("w02_id_uniqueness", "SELECT CAST(p_partkey AS VARCHAR) AS sku, 1 AS skus_por_id FROM part")
 def id_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
     """How many skus share the hash id of each sku."""

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from skuloom.operators import ids, sync
@@ -105,3 +107,43 @@ def test_hash_id(make):
     assert ids.id_collisions(hashed, ["sku"]).count() == 0
     clash = hashed.withColumn("id", F.lit(1))
     assert ids.id_collisions(clash, ["sku"]).first()["count"] == 2
+
+
+def test_increment_keeps_old_ids_and_numbers_new_keys(make):
+    existing = make([("a", 1), ("b", 2), (None, 3), ("gone", 7)], "k string, id long")
+    rows = make([("b", "x"), ("c", "y"), (None, "z"), ("a", "v"), ("0", "w"), ("c", "y")], "k string, v string")
+    got = sorted(map(tuple, ids.surrogate_increment(existing, rows, ["k"], ["k"]).collect()), key=str)
+    assert got == sorted([("b", "x", 2), ("c", "y", 9), ("c", "y", 9), (None, "z", 3), ("a", "v", 1), ("0", "w", 8)], key=str)
+    first = ids.surrogate_increment(existing.where("false"), rows, ["k"], ["k"])
+    assert sorted({(r.k, r.id) for r in first.collect()}, key=lambda x: x[1]) == [(None, 1), ("0", 2), ("a", 3), ("b", 4), ("c", 5)]
+    assert ids.surrogate_increment(existing, rows.where("false"), ["k"], ["k"]).count() == 0
+
+
+def digest_id(key: str | None, attempt: int, bits: int) -> int:
+    text = "-" if key is None else f"{len(key)}:{key}"
+    text += f"#{attempt}" if attempt else ""
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16) >> (60 - bits)
+
+
+def test_collisions_are_resolved_by_probing(make):
+    keys = [None, "", *[f"k{i}é" for i in range(50)]]
+    waiting, settled = {k: 0 for k in keys}, {}
+    while waiting:
+        tried: dict[int, list] = {}
+        for k, attempt in waiting.items():
+            tried.setdefault(digest_id(k, attempt, 8), []).append(k)
+        won = {i: min(ks, key=lambda k: (k is not None, k or "")) for i, ks in tried.items() if i not in settled.values()}
+        settled |= {k: i for i, k in won.items()}
+        waiting = {k: n + 1 for k, n in waiting.items() if k not in settled}
+    got = ids.resolved_id(make([(k, n) for k in keys for n in (1, 2)], "k string, n int"), ["k"], bits=8).collect()
+    assert len(got) == 2 * len(keys) and {(r.k, r.id) for r in got} == set(settled.items())
+    assert len(set(settled.values())) == len(keys)
+    full = ids.resolved_id(make([(k,) for k in keys], "k string"), ["k"])
+    assert {(r.k, r.id) for r in full.collect()} == {(k, digest_id(k, 0, 60)) for k in keys}
+    with pytest.raises(ValueError, match="2 bits"):
+        ids.resolved_id(make([(k,) for k in keys[:6]], "k string"), ["k"], bits=2)
+
+
+def test_columns_of_an_id_do_not_run_together(make):
+    rows = make([("a", "bc"), ("ab", "c"), ("abc", None), (None, "abc"), ("1:a", ""), ("1", ":a")], "x string, y string")
+    assert ids.hash_id(rows, ["x", "y"]).select("id").distinct().count() == 6
