@@ -9,7 +9,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import BLANKS, digest, fresh, reach_workers, salted_join, stored, text_of
+from skuloom.llm.common import (
+    BLANKS,
+    digest,
+    discard,
+    fresh,
+    may_hold,
+    quoted,
+    reach_workers,
+    stored,
+    text_of,
+)
 
 #: Counters of the frequent-item summary: every digest of more than 1 / (COUNTERS + 1) of all rows
 #: is found. The broadcast holds at most this many winners.
@@ -62,15 +72,12 @@ def _first(order: Column) -> Column:
     return F.min(order).alias("first")
 
 
-def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """One row per document: the row its group keeps, the group's size, whether it stays.
+def _order() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("_row"))
 
-    Texts are equal when they agree after each run of blanks has become one space; null is empty.
-    The row with the smallest ``doc_id`` stays, null ids last; of rows that tie, exactly one.
-    Frequent digests are counted exactly, and their winners (at most ``counters``) are broadcast, so
-    that their rows never move; all other rows meet in one shuffle on the digest, and none of those
-    groups has more than 1/(counters + 1) of the rows. An empty table gives no rows.
-    """
+
+def _digest_rows(docs: DataFrame, counters: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Digest rows of all documents, the frequent digests, and the winner and size of each of those."""
     reach_workers(docs.sparkSession)
     rows = stored(
         docs.select(
@@ -81,17 +88,29 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
         "digests",
     )
     candidates = stored(frequent_digests(rows, counters), "frequent")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("_row"))
     winners = stored(
         rows.join(F.broadcast(candidates), "text_sha256")
         .groupBy("text_sha256")
-        .agg(_first(order), F.count(F.lit(1)).alias("group_size")),
+        .agg(_first(_order()), F.count(F.lit(1)).alias("group_size")),
         "winners",
     )
+    return rows, candidates, winners
+
+
+def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """One row per document: the row its group keeps, the group's size, whether it stays.
+
+    Texts are equal when they agree after each run of blanks has become one space; null is empty.
+    The row with the smallest ``doc_id`` stays, null ids last; of rows that tie, exactly one.
+    Frequent digests are counted exactly, and their winners (at most ``counters``) are broadcast, so
+    that their rows never move; all other rows meet in one shuffle on the digest, and none of those
+    groups has more than 1/(counters + 1) of the rows. An empty table gives no rows.
+    """
+    rows, candidates, winners = _digest_rows(docs, counters)
     hot = rows.join(F.broadcast(winners), "text_sha256")
     cold = rows.join(F.broadcast(candidates), "text_sha256", "left_anti")
     group = Window.partitionBy("text_sha256")
-    cold = cold.withColumn("first", F.min(order).over(group)).withColumn(
+    cold = cold.withColumn("first", F.min(_order()).over(group)).withColumn(
         "group_size", F.count(F.lit(1)).over(group)
     )
     both = hot.select(cold.columns).unionByName(cold)
@@ -105,21 +124,38 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The documents that ``exact_groups`` keeps, all columns; of tied rows any one stays."""
-    groups = stored(exact_groups(docs, counters), "groups")
-    key, own = fresh(docs, "_digest"), fresh(docs, "_own")
-    many = groups.where("group_size > 1")
-    tied = (
-        many.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .groupBy("text_sha256", "doc_id")
-        .agg(F.count(F.lit(1)).alias("ties"))
+    """The documents that ``exact_groups`` keeps, all columns; of tied rows any one stays.
+
+    Null texts count as empty; an empty table gives no rows; long texts are read for their digest
+    like others. Rows of a frequent digest go where they are read unless they have the broadcast
+    winner's id. Of the rest, texts without a copy stay where they are: a filter of fixed size,
+    made from the digests that occur twice or more, lets only (and all) others through to the
+    shuffle, in which each task sends at most one row per digest.
+    """
+    rows, candidates, winners = _digest_rows(docs, counters)
+    several = (
+        rows.join(F.broadcast(candidates), "text_sha256", "left_anti")
+        .groupBy("text_sha256")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("text_sha256")
+        .unionByName(winners.where("group_size > 1").select("text_sha256"))
     )
-    # one line per group of copies: who stays, and how many rows tie for it
-    keep = stored(tied.select(F.col("text_sha256").alias(key), F.struct("doc_id", "ties").alias(own)), "keep")
+    several = stored(several, "copied-digests")
+    discard(rows)
+    key, own, shared = (fresh(docs, c) for c in ("_digest", "_own", "_shared"))
+    hot = winners.select(F.col("text_sha256").alias(key), F.struct("first.doc_id").alias(own))
     keyed = docs.withColumn(key, digest(normalised(text_of(docs))))
-    joined = salted_join(keyed, keep, [key], "left")
-    stays = F.col(own).isNull() | docs["doc_id"].eqNullSafe(F.col(f"{own}.doc_id"))
-    left = joined.where(stays)
-    single = left.where(F.col(own).isNull() | (F.col(f"{own}.ties") == 1))
-    several = left.where(F.col(f"{own}.ties") > 1).dropDuplicates([key])
-    return single.select(docs.columns).unionByName(several.select(docs.columns))
+    left = keyed.join(F.broadcast(hot), key, "left").where(
+        F.col(own).isNull() | docs["doc_id"].eqNullSafe(F.col(f"{own}.doc_id"))
+    )
+    left = may_hold(left, F.col(key), several, shared)
+    alone = left.where(~F.col(shared)).select(quoted(docs))
+    order = F.struct(docs["doc_id"].isNull().alias("n"), docs["doc_id"].alias("d"))
+    chosen = (
+        left.where(F.col(shared))
+        .groupBy(key)
+        .agg(F.min_by(F.struct(*quoted(docs)), order).alias(own))
+        .select(f"{own}.*")
+    )
+    return alone.unionByName(chosen)

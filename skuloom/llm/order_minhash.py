@@ -20,7 +20,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import BLANKS, discard, fresh, reach_workers, salted_join, stored, text_of
+from skuloom.llm.common import (
+    BLANKS,
+    discard,
+    fresh,
+    may_hold,
+    quoted,
+    reach_workers,
+    salted_join,
+    stored,
+    text_of,
+)
 
 #: Pieces of a sketch and the least similarity of a link that the sketches below are made for.
 CHOSEN, SIMILARITY = 2, 0.8
@@ -258,6 +268,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, least: floa
     filled = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
     links = stored(_verified(filled.select("a", "b", "x", "y"), least), "verified")
     discard(own)
+    discard(pairs)
     return links
 
 
@@ -404,7 +415,9 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     reach_workers(docs.sparkSession)
     plain = F.trim(F.regexp_replace(text_of(docs), BLANKS, " ")).alias("plain")
     texts = docs.select(words_key(docs).alias("node"), plain)
-    sketched = stored(stored(_sketched(texts), "sketches").dropDuplicates(["node"]), "sketched")
+    every = stored(_sketched(texts), "sketches")
+    sketched = stored(every.dropDuplicates(["node"]), "sketched")
+    discard(every)
     profiles = sketched.select("node", "words", "bins")
 
     def entries(table: DataFrame) -> DataFrame:
@@ -437,6 +450,8 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     if not more.isEmpty():
         links = links.unionByName(more)
         classes = components(links)
+    for done in (sketched, least_of, tested, open_, cross):
+        discard(done)
     return classes, links
 
 
@@ -491,7 +506,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One document of each class, all columns: that of the smallest doc_id, of ties any one."""
+    """One document of each class, all columns: that of the smallest doc_id, of ties any one.
+
+    Null texts count as empty, and blank ones equal them; an empty table gives no rows; repeated rows
+    are one class; long texts are compared whole. Texts of classes of one row stay where they are:
+    a filter of fixed size lets only (and all) others through to the shuffle.
+    """
     classes, _ = near_classes(docs, least)
     node, cls = fresh(docs, "_node"), fresh(docs, "_class")
     known = classes.toDF(node, cls)
@@ -513,10 +533,14 @@ def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFram
         .join(winners.withColumn(stay, F.lit(True)), node, "left"),
         "near-members",
     ).withColumn(stay, F.coalesce(stay, F.lit(False)))
+    shared = fresh(docs, "_shared")
     keyed = docs.withColumn(node, words_key(docs))
-    joined = salted_join(keyed, members.drop(cls), [node], "left")
-    alone = joined.where(F.col(stay).isNull())
-    chosen = joined.where(F.col(stay) & docs["doc_id"].eqNullSafe(F.col(owner)))
-    return alone.select(docs.columns).unionByName(
-        chosen.dropDuplicates([node]).select(docs.columns)
+    marked = may_hold(keyed, F.col(node), members.select(node), shared)
+    alone = marked.where(~F.col(shared)).select(quoted(docs))
+    joined = salted_join(marked.where(F.col(shared)), members.drop(cls), [node], "left")
+    chosen = joined.where(
+        F.col(stay).isNull() | (F.col(stay) & docs["doc_id"].eqNullSafe(F.col(owner)))
     )
+    # of the rows that pass, those of one text tie, so one of them stays
+    first = chosen.groupBy(node).agg(F.first(F.struct(*quoted(docs))).alias(owner))
+    return alone.unionByName(first.select(f"{owner}.*"))

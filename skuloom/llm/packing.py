@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuloom.llm.bpe import PATTERN, Vocabulary
-from skuloom.llm.common import reach_workers, running_starts, stored, text_of
+from skuloom.llm.common import in_runs, reach_workers, running_starts, stored, text_of
 
 #: Id that ends every document.
 END = 1
@@ -153,24 +153,25 @@ def pack_documents(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
     packed by the histogram of their lengths (at most ``size`` counts reach the driver), and the
     patterns, at most a few per length, go back to the pieces by their rank among pieces of
     equal length. Ranks are counted block by block, so one very common length fills no task.
-    Null ids and repeated rows are documents of their own; equal rows take neighbouring ranks.
+    Null ids and repeated rows are documents of their own; equal rows are counted, ranked in runs of
+    10,000 that lie in blocks of their own, and laid out again run by run. Extra columns are not read.
     Sequence ids run gaplessly from 0. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = stored(
+    counted = (
         pieces(docs, path, size)
         .groupBy("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-        .agg(F.count(F.lit(1)).alias("copies")),
-        "pieces",
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
+    rows = stored(in_runs(counted, "copies", "run"), "pieces")
     histogram = {
         r["length"]: r["n"]
         for r in rows.groupBy("length").agg(F.sum("copies").alias("n")).collect()
     }
     full = histogram.pop(size, 0)
     places = spark.sparkContext.broadcast(_places(pack_patterns(histogram, size), full))
-    keyed = rows.withColumn("block", F.pmod(F.xxhash64(*_PIECE_KEY), F.lit(BLOCKS)).cast("int"))
-    ranked = running_starts(keyed, ["length"], "block", _PIECE_KEY, "copies", "rank_start")
+    keyed = rows.withColumn("block", F.pmod(F.xxhash64(*_PIECE_KEY, "run"), F.lit(BLOCKS)).cast("int"))
+    ranked = running_starts(keyed, ["length"], "block", [*_PIECE_KEY, "run"], "copies", "rank_start")
     rank = F.explode(F.sequence(F.col("rank_start"), F.col("rank_start") + F.col("copies") - 1))
     ranked = ranked.select(*_PIECE_KEY, rank.alias("rank"))
 

@@ -13,11 +13,22 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import digest, fresh, reach_workers, salted_join, stored, text_of
+from skuloom.llm.common import (
+    BLANKS,
+    by_position,
+    digest,
+    fresh,
+    quoted,
+    reach_workers,
+    salted_join,
+    stored,
+    text_of,
+)
 
 #: Up to this many frequent lines (24 bytes each) are sent to every executor; beyond, they are joined.
 BROADCAST_LINES = 200_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_BLANKS = re.compile(BLANKS)
 _SYMBOLS = re.compile(r"[#*$%&|<>]+")
 _WINDOW = 8
 
@@ -27,7 +38,8 @@ class LineLimits:
     """When a line is boilerplate, and when a document has too little left without such lines.
 
     A line goes when more than ``most`` documents of its host have it, or more than ``share`` of them
-    and more than ``least``. Rows of one id and text are one document; copies under other ids count.
+    and more than ``least``. Copies of one text, blanks apart, are one document, in the counts of lines
+    and of the host alike: a text alone never makes its own lines frequent.
     A document is depleted when fewer than ``words_left`` words stay, or less than ``part_left`` of
     its words.
     """
@@ -91,10 +103,9 @@ def frequent_lines(docs: DataFrame, limits: LineLimits) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, lines, documents = [], [], []
-            both = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for k, (text, own_id) in enumerate(both):
+            for k, text in enumerate(batch.column(1).to_pylist()):
                 own = {line_key(line) for line in text.split("\n")} - {None}
-                plain = f"{'-' if own_id is None else '+' + own_id}\0{text}"
+                plain = _BLANKS.sub(" ", text)
                 name = hashlib.blake2b(plain.encode(), digest_size=16).digest()
                 owner += [k] * (len(own) + 1)
                 lines += [b"", *own]  # the empty key counts the host's documents
@@ -106,7 +117,7 @@ def frequent_lines(docs: DataFrame, limits: LineLimits) -> DataFrame:
             )
 
     host = F.coalesce(docs["source"].cast("string"), F.lit("")).alias("host")
-    found = docs.select(host, text_of(docs), docs["doc_id"].cast("string")).mapInArrow(
+    found = docs.select(host, text_of(docs)).mapInArrow(
         run, "host string, line binary, document binary"
     )
     counts = found.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
@@ -222,7 +233,9 @@ def clean_documents(docs: DataFrame, limits: LineLimits | None = None) -> DataFr
     """The documents that stay, with all their columns and without the frequent lines.
 
     ``n_chars``, where there is one, is counted anew for texts that lost lines. Texts that lose
-    nothing are passed on as they are.
+    nothing are passed on as they are. Null and empty texts have no words and go; an empty table
+    gives no rows; repeated rows and copies are judged alike, so all of them stay or go; long texts
+    are judged whole.
     """
     limits = limits or LineLimits()
     found, host, hits, sent = _with_hits(docs, limits)
@@ -250,8 +263,8 @@ def clean_documents(docs: DataFrame, limits: LineLimits | None = None) -> DataFr
             arrays["text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
 
-    cleaned = found.mapInArrow(run, docs.schema)
+    cleaned = by_position(found).mapInArrow(run, docs.schema)
     if "n_chars" not in docs.columns:
         return cleaned
     kind = docs.schema["n_chars"].dataType
-    return cleaned.withColumn("n_chars", F.char_length("text").cast(kind)).select(docs.columns)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast(kind)).select(quoted(docs))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import running_starts, stored, text_of
+from skuloom.llm.common import in_runs, running_starts, stored, text_of
 
 #: Multiplier of the 64-bit linear congruential generator of the published algorithm (fixed value).
 MULTIPLIER = 2862933555777941757
@@ -78,11 +78,13 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     Law ``key``: ``doc_id`` and the number of shards decide. ``size`` is the text's UTF-8 bytes
     plus 1 (null text: 1), ``text_crc32`` the unsigned checksum of the same bytes. Slots of a shard
     run gaplessly from 0 in the order of (block of a hash, doc_id, size, checksum). Null ids are one
-    key. Repeated rows take neighbouring slots: equal rows are counted before the shuffle and laid
-    out again after the numbering, so copies cannot fill a task. An empty table gives no rows.
+    key. Equal rows are counted before the shuffle, numbered in runs of 10,000 that lie in blocks of
+    their own, and laid out again run by run, so copies cannot fill a task. Null and empty texts
+    differ only in nothing: both have size 1. Long texts are read once for their size and checksum.
+    Extra columns are not read. An empty table gives no rows.
     """
     text = text_of(docs)
-    rows = (
+    counted = (
         docs.select(
             docs["doc_id"],
             (F.octet_length(text) + F.lit(1)).cast("bigint").alias("size"),
@@ -90,15 +92,18 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         )
         .groupBy("doc_id", "size", "text_crc32")
         .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    rows = (
+        in_runs(counted, "copies", "run")
         .withColumn("shard", jump_shard(F.col("doc_id"), shards))
         .withColumn("grown_shard", jump_shard(F.col("doc_id"), shards + 1))
         .withColumn(
             "block",
-            F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(BLOCKS)).cast("int"),
+            F.pmod(F.xxhash64("doc_id", "size", "text_crc32", "run"), F.lit(BLOCKS)).cast("int"),
         )
     )
     rows = stored(rows, "shards")
-    placed = running_starts(rows, ["shard"], "block", ["doc_id", "size", "text_crc32"], "copies")
+    placed = running_starts(rows, ["shard"], "block", ["doc_id", "size", "text_crc32", "run"], "copies")
     slot = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1))
     return placed.select(
         "doc_id",

@@ -5,6 +5,11 @@ anchor. So only anchors are ranked at first (names of 1, 2, 4, ... bytes by doub
 names brought together by Spark). Starts whose anchor is unique drop out; the others are ranked
 again at the full span that shares the anchor, and only what is still undecided, one by one, at
 LENGTH bytes. The name of a class is its earliest position in the order of documents.
+
+This replaces rounds in which Spark sorts a rank pair of every byte position at offsets 1, 2, 4, ...:
+such rounds shuffle at least 16 bytes per byte of text each, beyond the disk that is allowed, while
+here one anchor stands for dozens of positions and the doubling itself runs inside the tasks. Classes are
+told apart by 64-bit names (two of them for single strings), not by comparing bytes again.
 """
 
 from __future__ import annotations
@@ -17,7 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import discard, fresh, reach_workers, running_starts, stored, text_of
+from skuloom.llm.common import (
+    by_position,
+    discard,
+    fresh,
+    quoted,
+    reach_workers,
+    running_starts,
+    stored,
+    text_of,
+)
 
 LENGTH = 100
 _ANCHOR = 48
@@ -387,7 +401,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents without the removed bytes, all columns; every row stays.
 
     A letter that loses some of its bytes is lost whole. ``n_chars``, where there is one, is
-    counted anew.
+    counted anew. Null texts stay null, empty ones empty; rows with the same doc_id and text are one
+    document; long texts are cut like others. An empty table gives no rows.
     """
     runs = removed_starts(docs, length).toDF("_d", "_t", "_r")
     names_ = {c: fresh(docs, c) for c in ("_d", "_t", "_r")}
@@ -395,7 +410,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         runs = runs.withColumnRenamed(old, new)
     d, t, r = names_.values()
     same = docs["doc_id"].cast("bigint").eqNullSafe(runs[d]) & (F.xxhash64(text_of(docs)) == runs[t])
-    joined = docs.join(runs, same, "left").select(*docs.columns, r)
+    joined = docs.join(runs, same, "left").select(*quoted(docs), r)
     spot = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,8 +429,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     docs_columns = docs.columns
     reach_workers(docs.sparkSession)
-    cut = joined.mapInArrow(run, docs.schema)
+    cut = by_position(joined).mapInArrow(run, docs.schema)
     if "n_chars" not in docs.columns:
         return cut
     kind = docs.schema["n_chars"].dataType
-    return cut.withColumn("n_chars", F.char_length("text").cast(kind)).select(docs.columns)
+    return cut.withColumn("n_chars", F.char_length("text").cast(kind)).select(quoted(docs))

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skuloom.llm import quality_rules as rules
 from skuloom.llm.exact_dedup import drop_copies, exact_groups
@@ -256,3 +257,56 @@ def test_frequent_lines_of_any_host(docs, n, few, many):
     assert sorted(left) == list(range(n))
     assert sum("rare line" in x for x in left.values()) == few
     assert not any("shared line" in x for x in left.values())
+
+
+@pytest.fixture
+def odd_columns(spark):
+    """Documents with a map column and column names with a dot and a backtick."""
+    schema = "doc_id bigint, text string, source string, n_chars bigint, m map<string,int>, `a.b` int, `c``d` int"
+    return lambda rows: spark.createDataFrame([(i, t, s, len(t or ""), {"k": 1}, 5, 6) for i, t, s in rows], schema)
+
+
+def test_stages_carry_maps_and_odd_names(odd_columns):
+    rows = [(k, words(k % 3, 40), "h") for k in range(9)] + [(3, words(0, 40), "h"), (None, None, None), (50, words(50, 40) + " x", "g")]
+    docs = odd_columns(rows)
+    for stage, left in ((clean_documents, 11), (drop_copies, 5), (drop_near_duplicates, 5), (remove_repeats, 12)):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) == left
+        assert all(r.m == {"k": 1} and r["a.b"] == 5 and r["c`d"] == 6 for r in got)
+
+
+def test_copies_do_not_make_their_own_lines_frequent(docs):
+    """A host of 34 documents, five of them one text: the lines stay, and one copy survives."""
+    text = "\n".join(words(9000 + k, 10) for k in range(4))
+    rows = [(k, "\n".join(words(10 * k + j, 10) for j in range(4)), "h") for k in range(29)]
+    rows += [(29 + k, text.replace(" ", "  ") if k == 2 else text, "h") for k in range(5)]
+    kept = clean_documents(docs(rows))
+    assert kept.count() == 34
+    assert sorted(r.doc_id for r in drop_copies(kept).collect()) == list(range(30))
+    few = [(k, words(k % 5, 60), "h") for k in range(20)]
+    assert quality_verdicts(docs(few)).where("kept").count() == 20
+    shared = [(k, words(0, 10) + "\n" + words(k + 1, 30), "h") for k in range(34)]
+    assert clean_documents(docs(shared)).where(f"contains(text, '{words(0, 10)}')").count() == 0
+
+
+def test_copies_of_a_hot_text_stay_once(docs):
+    rows = [(k, "hot text here", "h") for k in range(400, 0, -1)] + [(k, words(k, 30), "h") for k in range(401, 500)]
+    rows += [(1, "hot  text here", "h"), (None, "hot text here", "h"), (700, words(450, 30), "g")]
+    left = drop_copies(docs(rows), counters=3)
+    assert sorted(r.doc_id for r in left.collect()) == [1, *range(401, 500)]
+
+
+def test_millions_of_equal_rows_are_dealt_to_many_tasks(spark):
+    rows = spark.range(5_000_000, numPartitions=8).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("same").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = shard_documents(rows)
+        sizes = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        slots = placed.agg(F.min("slot"), F.max("slot"), F.approx_count_distinct("slot", 0.01)).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r.n for r in sizes) == 5_000_000 and len(sizes) >= 8
+    assert max(r.n for r in sizes) < 1_500_000
+    assert slots[0] == 0 and slots[1] == 4_999_999 and abs(slots[2] / 5e6 - 1) < 0.05
