@@ -207,11 +207,12 @@ def profile(words: list[str]) -> bytes:
 
 def _sketched(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [t.split(" ") if t else [] for t in batch.column(1).to_pylist()]
+        parts = (b.slice(k, _TEXTS) for b in batches for k in range(0, b.num_rows, _TEXTS))
+        for part in parts:
+            words = [t.split(" ") if t else [] for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    part.column(0),
                     pa.array(map(sketches, words), pa.list_(pa.int64())),
                     pa.array(map(len, words), pa.int64()),
                     pa.array(map(profile, words), pa.binary()),
