@@ -47,6 +47,8 @@ _BAND, _STRETCH = 120, 4096
 _TOGETHER = 50_000
 #: Counters of words in a profile, and members of a bucket's block that meet those of another one.
 _BINS, _BLOCK = 256, 400
+#: Texts that a worker holds as words at a time.
+_TEXTS = 500
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
