@@ -15,10 +15,12 @@ told apart by 64-bit names (two of them for single strings), not by comparing by
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,7 +165,8 @@ def _raw(text: str) -> np.ndarray:
 
 def _anchors(length: int):
     def each(batch):
-        raws = [_raw(text) for text in batch.column(2).to_pylist()]
+        data, ends = _texts(batch.column(2))
+        raws = [data[i:j] for i, j in itertools.pairwise(ends.tolist())]
         if raws:
             text, _, _, anchor = units_of(raws, length)
             ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(raws)))])
@@ -178,23 +181,23 @@ def _hulls(length: int):
     """Rows (text, base, chosen units): the bytes that the strings of each chosen unit span."""
 
     def each(batch):
-        texts, bases, chosen = (batch.column(i).to_pylist() for i in range(3))
-        if not texts:
+        if not batch.num_rows:
             return
-        raws = [_raw(text) for text in texts]
+        data, ends = _texts(batch.column(0))
+        raws = [data[i:j] for i, j in itertools.pairwise(ends.tolist())]
+        bases, chosen = batch.column(1).to_numpy(), batch.column(2)
         owner, first, last, anchor = units_of(raws, length)
-        begin = np.searchsorted(owner, np.arange(len(texts)))
-        spot = np.concatenate(
-            [np.sort(np.array(c, np.int64)) + b for c, b in zip(chosen, begin, strict=True)]
-        )
+        begin = np.searchsorted(owner, np.arange(len(raws)))
+        spot = np.sort(chosen.flatten().to_numpy() + np.repeat(begin, pc.list_value_length(chosen).to_numpy()))
         owner, lo, hi = owner[spot], first[spot], last[spot]
-        bytes_of = [raw.tobytes() for raw in raws]
+        # digests of the bytes between the first and the last string of a unit
+        held, shift = data.data, ends[owner]
         hull = [
-            hashlib.blake2b(bytes_of[k][a : b + length], digest_size=16).digest()
-            for k, a, b in zip(owner.tolist(), lo.tolist(), hi.tolist(), strict=True)
+            hashlib.blake2b(held[i:j], digest_size=16).digest()
+            for i, j in zip((lo + shift).tolist(), (hi + shift + length).tolist(), strict=True)
         ]
         yield (
-            pa.array(np.array(bases, np.int64)[owner]),
+            pa.array(bases[owner]),
             pa.array(lo),
             pa.array(hi),
             pa.array(anchor[spot]),
@@ -358,15 +361,33 @@ def _by_text(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame
     return left.join(other, same, how).drop("_d", "_t")
 
 
-def _gone(size: int, runs: list[dict[str, int]] | None, length: int) -> np.ndarray:
-    """Which bytes go."""
-    edges = np.zeros(size + 1, np.int32)
-    if runs:
-        lo = np.array([r["lo"] for r in runs])
-        hi = np.array([r["hi"] for r in runs])
-        np.add.at(edges, lo, 1)
-        np.add.at(edges, hi + length, -1)
-    return np.cumsum(edges)[:size] > 0
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a column of strings, one after the other, and where each begins and ends."""
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8), ends
+
+
+def _cut(texts: pa.Array, runs: pa.Array, length: int) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each few consecutive texts: their numbers, bytes and ends of the texts, which bytes go.
+
+    Runs never reach over the end of their text, so many texts are marked in one table.
+    """
+    data, ends = _texts(texts)
+    lo, hi = (part.to_numpy() for part in runs.flatten().flatten())
+    counts = pc.fill_null(pc.list_value_length(runs), 0).to_numpy().astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    for group in _grouped(np.diff(ends).tolist()):
+        begin, end = ends[group.start], ends[group.stop]
+        part = slice(bounds[group.start], bounds[group.stop])
+        shift = np.repeat(ends[group.start : group.stop] - begin, counts[group.start : group.stop])
+        edges = np.zeros(end - begin + 1, np.int32)
+        np.add.at(edges, lo[part] + shift, 1)
+        np.add.at(edges, hi[part] + length + shift, -1)
+        gone = np.cumsum(edges, dtype=np.int32)[:-1] > 0
+        yield group, data[begin:end], ends[group.start : group.stop + 1] - begin, gone
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -378,16 +399,19 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
 
     def each(batch):
-        sizes, removed, spans, kept = [], [], [], []
-        for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            raw = _raw(text)
-            gone = _gone(len(raw), runs, length)
-            sizes.append(len(raw))
-            removed.append(int(gone.sum()))
-            spans.append(int(np.diff(gone.astype(np.int8), prepend=0).clip(0).sum()))
-            kept.append(hashlib.sha256(raw[~gone].tobytes()).hexdigest())
-        numbers = (pa.array(x, pa.int64()) for x in (sizes, removed, spans))
-        yield batch.column(0), *numbers, pa.array(kept, pa.string())
+        for group, raw, ends, gone in _cut(batch.column(1), batch.column(2), length):
+            first = gone.copy()
+            first[1:] &= ~gone[:-1]
+            begins = ends[:-1][ends[:-1] < len(raw)]
+            first[begins] = gone[begins]
+            removed, spans = (
+                np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[ends] for x in (gone, first)
+            )
+            left, kept = raw[~gone].data, ends - removed
+            digests = [hashlib.sha256(left[i:j]).hexdigest() for i, j in itertools.pairwise(kept.tolist())]
+            numbers = (pa.array(np.diff(x), pa.int64()) for x in (ends, removed, spans))
+            own = batch.column(0).slice(group.start, len(group))
+            yield own, *numbers, pa.array(digests, pa.string())
 
     text = text_of(docs)
     keyed = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text).alias("_text"), text.alias("text"))
@@ -415,16 +439,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            own = batch.column(len(docs_columns)).to_pylist()
-            for text, found in zip(batch.column(spot).to_pylist(), own, strict=True):
-                if found:
-                    raw = _raw(text)
-                    left = raw[~_gone(len(raw), found, length)].tobytes()
-                    text = left.decode("utf-8", "ignore")
-                texts.append(text)
+            texts, runs = batch.column(spot), batch.column(len(docs_columns))
+            cut = texts.to_pylist()
+            some = pc.fill_null(pc.list_value_length(runs), 0).to_numpy() > 0
+            for group, raw, ends, gone in _cut(texts, runs, length):
+                for k in np.flatnonzero(some[group.start : group.stop]).tolist():
+                    part = slice(ends[k], ends[k + 1])
+                    left = raw[part][~gone[part]].tobytes()
+                    cut[group.start + k] = left.decode("utf-8", "ignore")
             columns = list(batch.columns[:-1])
-            columns[spot] = pa.array(texts, pa.string())
+            columns[spot] = pa.array(cut, pa.string())
             yield pa.RecordBatch.from_arrays(columns, docs_columns)
 
     docs_columns = docs.columns

@@ -156,6 +156,18 @@ def test_suffix_dedup(docs):
     assert suffix_dedup(docs([])).count() == 0
 
 
+def test_suffix_dedup_of_long_and_periodic_texts(docs):
+    """Texts over a stretch of 262,144 bytes, a repeat across its end, one byte and a word over and over."""
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefghijklmnop", k=270_000))
+    texts = [long, "x" * 900, long[262_000:262_400] + "tail", "a\u00e9b" * 200, "", long[5_000:5_099]]
+    table = docs([(k, t, "s") for k, t in enumerate(texts)])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup(table).collect()}
+    assert got == brute_suffix(list(enumerate(texts)))
+    left = {r.doc_id: r.text for r in remove_repeats(table).collect()}
+    assert left[0] == long and left[2] == "tail" and left[1] == "x" and left[5] == texts[5]
+
+
 def slow_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
