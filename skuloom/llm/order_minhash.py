@@ -2,10 +2,10 @@
 
 A sketch takes the few smallest of all occurrence-labelled pieces of two or three words under one
 hash function and keeps them in their order in the text; texts that differ by few edits share sketches, texts
-that hold the same pieces in another order do not. Texts that share a sketch form a bucket. They
-are compared with one representative of it, then with its best linked member, and at last all those
-of a bucket that are still in different classes with each other, unless their lengths or words
-alone rule out a link.
+that hold the same pieces in another order do not. Texts that share a sketch form a bucket. Each
+is compared with one representative of all its buckets, then, where a bucket still holds several
+classes, with its best linked member, and at last all those of a bucket that are still in different
+classes with each other, unless their lengths or words alone rule out a link.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from skuloom.llm.common import (
     stored,
     text_of,
 )
+from skuloom.operators.joins import split_join
 
 #: Pieces of a sketch and the least similarity of a link that the sketches below are made for.
 CHOSEN, SIMILARITY = 2, 0.8
@@ -247,7 +248,8 @@ def _possible(pairs: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
             good = _may_link(_bins(batch.column(3)), _bins(batch.column(5)), n, m, least)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good))
 
-    both = pairs.join(profiles.toDF("a", "n", "x"), "a").join(profiles.toDF("b", "m", "y"), "b")
+    both = split_join(pairs, profiles.toDF("a", "n", "x"), ["a"], "inner")
+    both = both.join(profiles.toDF("b", "m", "y"), "b")
     return both.select("a", "b", "n", "x", "m", "y").mapInArrow(run, "a binary, b binary")
 
 
@@ -263,20 +265,34 @@ def _verified(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
-    """The pairs that are links."""
+def _linked(pairs: DataFrame, own: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
+    """The pairs that are links; ``own`` has the texts of all nodes that can be in a pair.
+
+    ``a`` may be a third of all pairs; ``b`` is in no more pairs than it has sketches, but for a few hubs.
+    """
     pairs = stored(_possible(pairs, profiles, least), "possible")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    own = stored(texts.join(nodes, "node").dropDuplicates(["node"]), "pair-texts")
-    filled = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
+    filled = split_join(pairs, own.toDF("a", "x"), ["a"], "inner")
+    filled = filled.join(own.toDF("b", "y"), "b")
     links = stored(_verified(filled.select("a", "b", "x", "y"), least), "verified")
-    discard(own)
     discard(pairs)
     return links
 
 
-def _ordered(one: str, other: str) -> list[Column]:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, plain) of ``nodes``, once each. A filter of fixed size spares most others the shuffle."""
+    some = may_hold(texts, F.col("node"), nodes, "_some").where("_some").drop("_some")
+    return some.dropDuplicates(["node"]).join(nodes, "node", "left_semi")
+
+
+def _low_high(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("low"), F.greatest(one, other).alias("high")]
+
+
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """(a, b): hubs and the texts of other classes in their buckets, each two texts once."""
+    pairs = entries.where("class <> hub.class").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    once = pairs.groupBy(*_low_high("a", "b")).agg(F.min(F.struct("a", "b")).alias("pair"))
+    return once.select("pair.a", "pair.b")
 
 
 def _bucket_minima(entries: DataFrame) -> DataFrame:
@@ -364,38 +380,47 @@ def _cross_pairs(entries: DataFrame, profiles: DataFrame, least: float) -> DataF
                     )
 
     met = dealt.repartition("block").sortWithinPartitions("block")
-    return met.mapInArrow(run, "x binary, y binary").select(*_ordered("x", "y")).distinct()
+    return met.mapInArrow(run, "x binary, y binary").select(*_low_high("x", "y")).distinct().toDF("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, class): the smallest node that links lead to, by minima over neighbours and jumps."""
-    both = stored(
-        links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-            links.select(F.col("b").alias("node"), F.col("a").alias("other"))
-        ),
-        "links",
-    )
-    label = stored(
-        both.groupBy("node").agg(F.least(F.min("node"), F.min("other")).alias("class")), "labels"
-    )
+    """(node, class): the smallest node that links lead to.
+
+    Each node points to its smallest neighbour or itself, pointers are followed to their ends, and the
+    links between different ends are the next round's. A round leaves at most half of the nodes, and
+    of a large group with one centre none; the links of a node never meet its other ones.
+    """
+    edges, label = links.select("a", "b"), None
     while True:
-        near = (
-            both.join(label.toDF("other", "seen"), "other")
-            .groupBy("node")
-            .agg(F.min("seen").alias("seen"))
-        )
-        better = label.join(near, "node").select(
-            "node", F.least("class", "seen").alias("class"), F.col("class").alias("old")
-        )
-        jump = label.toDF("class", "further")
-        step = stored(
-            better.join(jump, "class", "left").select(
-                "node", F.least("class", "further").alias("class"), "old"
-            ),
-            "labels",
-        )
-        label = step.select("node", "class")
-        if step.where("class <> old").isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+        step = stored(near.select("node", F.least("node", "low").alias("class")), "labels")
+        while True:
+            # ends point to themselves; only pointers to others that go on are followed
+            onward = step.where("class <> node").toDF("class", "further")
+            ahead = split_join(step, onward, ["class"], "left")
+            ahead = stored(
+                ahead.select("node", F.coalesce("further", "class").alias("class"), F.col("further").isNotNull().alias("moved")),
+                "labels",
+            )
+            discard(step)
+            step, moved = ahead.select("node", "class"), not ahead.where("moved").isEmpty()
+            if not moved:
+                break
+        if label is None:
+            label = step
+        else:
+            further = step.toDF("class", "further")
+            new = split_join(label, further, ["class"], "left")
+            new = stored(new.select("node", F.coalesce("further", "class").alias("class")), "labels")
+            discard(label)
+            discard(step)
+            label = new
+        ends = label.toDF("a", "one")
+        crossing = split_join(links.select("a", "b"), ends, ["a"], "inner")
+        crossing = split_join(crossing, ends.toDF("b", "two"), ["b"], "inner").where("one <> two")
+        edges = stored(crossing.select(F.col("one").alias("a"), F.col("two").alias("b")).distinct(), "links")
+        if edges.isEmpty():
             return label
 
 
@@ -411,9 +436,10 @@ def _with_classes(table: DataFrame, classes: DataFrame, links: DataFrame) -> Dat
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(node, class) of texts with links, and the verified links (a, b) between different texts.
 
-    Three rounds: each text and the smallest one of its bucket; where a bucket still has several
-    classes, each text and the bucket's member with the most links; then all texts of a bucket that
-    are in different classes. After that no link between two classes of one bucket is untested.
+    Each text meets the smallest representative of its buckets. Where a bucket still has several
+    classes, its texts of other classes meet its member with the most links, twice, since only the
+    first time shows which members those are. Then all texts of a bucket that are in different
+    classes meet. After that no link between two classes of one bucket is untested.
     """
     reach_workers(docs.sparkSession)
     plain = F.trim(F.regexp_replace(text_of(docs), BLANKS, " ")).alias("plain")
@@ -421,39 +447,42 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     every = stored(_sketched(texts), "sketches")
     sketched = stored(every.dropDuplicates(["node"]), "sketched")
     discard(every)
-    profiles = sketched.select("node", "words", "bins")
 
-    def entries(table: DataFrame) -> DataFrame:
-        rest = [c for c in table.columns if c in ("class", "links")]
-        return table.select("node", *rest, F.explode("sketches").alias("key"))
-
-    nodes = sketched.select("node", "sketches")
-    least_of = stored(_bucket_minima(entries(nodes)), "sketch-groups")
-    grouped = entries(nodes).join(least_of.hint("shuffle_hash"), "key").where("a < node")
-    tested = stored(grouped.select("a", F.col("node").alias("b")).distinct(), "pairs")
-    links = _linked(tested, texts, profiles, least)
+    entries = sketched.select("node", F.explode("sketches").alias("key"))
+    least_of = stored(_bucket_minima(entries), "sketch-groups")
+    members = stored(entries.join(least_of.hint("shuffle_hash"), "key"), "members")
+    discard(least_of)
+    first = stored(members.groupBy("node").agg(F.min("a").alias("a")), "representatives")
+    # what the rounds need of the texts that share a sketch
+    met = first.select("node")
+    profiles = stored(sketched.select("node", "words", "bins").join(met, "node"), "profiles")
+    discard(sketched)
+    own = stored(_texts_of(texts, met), "pair-texts")
+
+    tested = stored(first.where("a < node").select("a", F.col("node").alias("b")), "pairs")
+    links = _linked(tested, own, profiles, least)
     classes = components(links)
-
-    named = entries(_with_classes(nodes, classes, links))
-    named = named.join(least_of.hint("shuffle_hash"), "key").where("a <> node").drop("a")
-    open_ = stored(_undecided(named), "undecided")
-    by_hub = open_.where("class <> hub.class").withColumn("other", F.col("hub.node"))
-    by_hub = by_hub.select(*_ordered("node", "other")).distinct()
-    by_hub = stored(by_hub.join(tested, ["a", "b"], "left_anti"), "hub-pairs")
-    more = _linked(by_hub, texts, profiles, least)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        classes = components(links)
-        again = _with_classes(open_.select("key", "node"), classes, links)
-        open_ = stored(_undecided(again), "undecided")
-    tested = tested.unionByName(by_hub)
-    cross = _cross_pairs(open_.select("key", "node", "class", "size"), profiles, least)
-    cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "cross-pairs")
-    more = _linked(cross, texts, profiles, least)
-    if not more.isEmpty():
+    open_ = stored(_undecided(_with_classes(members.select("key", "node"), classes, links)), "undecided")
+    discard(members)
+    for number in range(3):
+        if number < 2:
+            pairs = _hub_pairs(open_)
+        else:
+            pairs = _cross_pairs(open_.select("key", "node", "class", "size"), profiles, least)
+        known = tested.select(*_low_high("a", "b"))
+        pairs = pairs.select("a", "b", *_low_high("a", "b")).join(known, ["low", "high"], "left_anti")
+        pairs = stored(pairs.select("a", "b"), "more-pairs")
+        more = _linked(pairs, own, profiles, least)
+        tested = tested.unionByName(pairs)
+        if more.isEmpty():
+            continue
         links = links.unionByName(more)
         classes = components(links)
-    for done in (sketched, least_of, tested, open_, cross):
+        if number < 2:
+            before = open_
+            open_ = stored(_undecided(_with_classes(open_.select("key", "node"), classes, links)), "undecided")
+            discard(before)
+    for done in (profiles, first, own, tested, open_):
         discard(done)
     return classes, links
 
@@ -464,7 +493,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     A link holds between two different texts when one minus the word edits per words of the longer
     one is ``least`` or more; classes are connected by links and by equal word sequences.
     ``class_id`` is the smallest doc_id of the class (null ids last), ``n_links`` counts the
-    verified links of the text, and exactly one row of each class is kept: that of ``class_id``,
+    links of the text that were verified to form the class, and exactly one row of each class is kept: that of ``class_id``,
     of tied rows any one. Null and blank texts are equal to one another. Texts under four words
     are linked to equal ones only. Pairs of at most 14 words meet in a bucket without loss, others by
     chance: in a simulation with edits at random places none of 17,400 pairs at similarity 0.8 to
