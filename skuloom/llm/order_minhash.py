@@ -31,7 +31,6 @@ from skuloom.llm.common import (
     stored,
     text_of,
 )
-from skuloom.operators.joins import split_join
 
 #: Pieces of a sketch and the least similarity of a link that the sketches below are made for.
 CHOSEN, SIMILARITY = 2, 0.8
@@ -248,7 +247,7 @@ def _possible(pairs: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
             good = _may_link(_bins(batch.column(3)), _bins(batch.column(5)), n, m, least)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good))
 
-    both = split_join(pairs, profiles.toDF("a", "n", "x"), ["a"], "inner")
+    both = pairs.join(profiles.toDF("a", "n", "x"), "a")
     both = both.join(profiles.toDF("b", "m", "y"), "b")
     return both.select("a", "b", "n", "x", "m", "y").mapInArrow(run, "a binary, b binary")
 
@@ -268,20 +267,22 @@ def _verified(pairs: DataFrame, least: float) -> DataFrame:
 def _linked(pairs: DataFrame, own: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
     """The pairs that are links; ``own`` has the texts of all nodes that can be in a pair.
 
-    ``a`` may be a third of all pairs; ``b`` is in no more pairs than it has sketches, but for a few hubs.
+    One ``a`` may be in a third of all pairs; adaptive execution splits its partition of the joins.
     """
     pairs = stored(_possible(pairs, profiles, least), "possible")
-    filled = split_join(pairs, own.toDF("a", "x"), ["a"], "inner")
+    filled = pairs.join(own.toDF("a", "x"), "a")
     filled = filled.join(own.toDF("b", "y"), "b")
     links = stored(_verified(filled.select("a", "b", "x", "y"), least), "verified")
     discard(pairs)
     return links
 
 
-def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, plain) of ``nodes``, once each. A filter of fixed size spares most others the shuffle."""
-    some = may_hold(texts, F.col("node"), nodes, "_some").where("_some").drop("_some")
-    return some.dropDuplicates(["node"]).join(nodes, "node", "left_semi")
+    keyed = docs.select(words_key(docs).alias("node"), text_of(docs).alias("text"))
+    some = may_hold(keyed, F.col("node"), nodes, "_some").where("_some")
+    some = some.dropDuplicates(["node"]).join(nodes, "node", "left_semi")
+    return some.select("node", F.trim(F.regexp_replace("text", BLANKS, " ")).alias("plain"))
 
 
 def _low_high(one: str, other: str) -> list[Column]:
@@ -398,7 +399,7 @@ def components(links: DataFrame) -> DataFrame:
         while True:
             # ends point to themselves; only pointers to others that go on are followed
             onward = step.where("class <> node").toDF("class", "further")
-            ahead = split_join(step, onward, ["class"], "left")
+            ahead = step.join(onward, "class", "left")
             ahead = stored(
                 ahead.select("node", F.coalesce("further", "class").alias("class"), F.col("further").isNotNull().alias("moved")),
                 "labels",
@@ -411,14 +412,14 @@ def components(links: DataFrame) -> DataFrame:
             label = step
         else:
             further = step.toDF("class", "further")
-            new = split_join(label, further, ["class"], "left")
+            new = label.join(further, "class", "left")
             new = stored(new.select("node", F.coalesce("further", "class").alias("class")), "labels")
             discard(label)
             discard(step)
             label = new
         ends = label.toDF("a", "one")
-        crossing = split_join(links.select("a", "b"), ends, ["a"], "inner")
-        crossing = split_join(crossing, ends.toDF("b", "two"), ["b"], "inner").where("one <> two")
+        crossing = links.select("a", "b").join(ends, "a")
+        crossing = crossing.join(ends.toDF("b", "two"), "b").where("one <> two")
         edges = stored(crossing.select(F.col("one").alias("a"), F.col("two").alias("b")).distinct(), "links")
         if edges.isEmpty():
             return label
@@ -457,7 +458,7 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     met = first.select("node")
     profiles = stored(sketched.select("node", "words", "bins").join(met, "node"), "profiles")
     discard(sketched)
-    own = stored(_texts_of(texts, met), "pair-texts")
+    own = stored(_texts_of(docs, met), "pair-texts")
 
     tested = stored(first.where("a < node").select("a", F.col("node").alias("b")), "pairs")
     links = _linked(tested, own, profiles, least)
