@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import reach_workers, text_of
+from skuloom.llm.common import digest, discard, reach_workers, stored, text_of
 from skuloom.llm.quality_model import held_out, training_ids
 
 #: Labelled texts a model is fitted on, at most, and the labelled rows they are chosen from.
@@ -23,9 +22,14 @@ CHOSEN_FROM = 40_000
 #: Hash buckets of the features.
 BUCKETS = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
-#: Log-likelihood ratio from which a word counts as offending.
-_EVIDENCE = 8
+#: Log-likelihood ratios above which a word may count as offending; folds of the training texts choose.
+LIMITS = (4, 8, 12, 16)
+FOLDS = 4
+#: Windows of this many words train the tagger, at most so many around offending words of a text.
 _WINDOW = 32
+PLACES = 8
+#: Tasks that cut and count the sampled texts.
+FITTED_IN = 12
 _REMEMBERED = 300_000
 _CHUNK = 1_000_000
 
@@ -126,120 +130,233 @@ class Tagger:
             yield 1 / (1 + np.exp(-np.clip(logit, -30, 30))), marginal, counts
 
 
-def word_labels(texts: list[list[str]], toxic: np.ndarray) -> set[int]:
-    """Feature buckets that mark offending words: far more frequent in toxic texts than in others.
+def marked_buckets(inside: np.ndarray, outside: np.ndarray, n: int, m: int, limit: float) -> np.ndarray:
+    """Which feature buckets mark offending words: far more frequent in toxic texts than in others.
 
-    A bucket needs three toxic texts, and one in a hundred of them, odds of at least e**3, and a
-    log-likelihood ratio of ``_EVIDENCE``, so that few labelled texts do not mark words by chance.
+    ``inside`` and ``outside`` count the toxic and the other texts that hold a bucket, ``n`` and
+    ``m`` all of them. A bucket needs three toxic texts, and one in a hundred of them, odds of at
+    least e**3, and a log-likelihood ratio above ``limit``, so that few labelled texts do not mark
+    words by chance.
     """
-    inside, outside = Counter(), Counter()
-    for words, label in zip(texts, toxic.tolist(), strict=True):
-        own = {f for w in set(words) for f in features(w)[:4]}
-        (inside if label else outside).update(own)
-    n, m = int(toxic.sum()), int(len(toxic) - toxic.sum())
-    least = max(3, 0.01 * n)
-    found = set()
-    for name, count in inside.items():
-        others = outside[name]
-        odds = math.log((count + 0.1) / (n + 1)) - math.log((others + 0.1) / (m + 1))
-        # log of the likelihood that the bucket is toxic at its own rate against the usual rate
-        both = count + others
-        gain = count * math.log(count / both * (n + m) / n)
-        gain += others * math.log(others / both * (n + m) / m) if others else 0
-        if count >= least and odds > 3 and gain > _EVIDENCE:
-            found.add(name)
-    return found
-
-
-def fit_tagger(texts: list[str], toxic: np.ndarray, epochs: int = 12, seed: int = 7) -> Tagger:
-    """Likelihood training on windows of words, half of them around offending words.
-
-    Without toxic and other texts alike there is nothing to learn: scores are then the smoothed
-    share of toxic texts.
-    """
-    share = (toxic.sum() + 0.5) / (len(toxic) + 1)
-    base = math.log(share / (1 - share))
-    tagger = Tagger(np.zeros(BUCKETS), -6.0, np.zeros((2, 2)), np.array([base, 0, 0, 0]))
-    if not len(toxic) or toxic.min() == toxic.max():
-        return tagger
-    texts = [_WORD.findall(t.lower()) for t in texts]
-    marks = word_labels(texts, toxic)
-    rng = np.random.default_rng(seed)
-    windows, tags = [], []
-    for words, label in zip(texts, toxic.tolist(), strict=True):
-        tag = np.array([bool(label) and bool(marks.intersection(features(w)[:4])) for w in words])
-        spots = np.flatnonzero(tag)[:8].tolist()
-        if len(words) >= _WINDOW:
-            spots += rng.integers(0, len(words), 3).tolist()
-        for spot in spots:
-            begin = max(0, min(spot - _WINDOW // 2, len(words) - _WINDOW))
-            if begin + _WINDOW <= len(words):
-                windows.append([features(w) for w in words[begin : begin + _WINDOW]])
-                tags.append(tag[begin : begin + _WINDOW])
-    if windows:
-        _train(tagger, np.array(windows), np.array(tags, np.float64), epochs, rng)
-    sizes = np.array([len(w) for w in texts], np.int64)
-    flat = [w for words in texts for w in words]
-    marginal = tagger.marginals(tagger.emissions(flat), sizes)
-    rows = tagger.summary(marginal, sizes)
-    for _ in range(25):  # Newton steps of a ridge logistic regression
-        p = 1 / (1 + np.exp(-np.clip(rows @ tagger.calibration, -30, 30)))
-        slope = rows.T @ (p - toxic) + 0.05 * tagger.calibration
-        curve = (rows * (p * (1 - p))[:, None]).T @ rows + 0.05 * np.eye(4)
-        tagger.calibration = tagger.calibration - np.linalg.solve(curve, slope)
-    tagger.known.clear()
-    return tagger
+    both = np.maximum(inside + outside, 1)
+    odds = np.log((inside + 0.1) / (n + 1)) - np.log((outside + 0.1) / (m + 1))
+    # log of the likelihood that the bucket is toxic at its own rate against the usual rate
+    gain = inside * np.log(np.maximum(inside, 1) / both * (n + m) / max(n, 1))
+    gain += outside * np.log(np.maximum(outside, 1) / both * (n + m) / max(m, 1))
+    return (inside >= max(3, 0.01 * n)) & (odds > 3) & (gain > limit)
+
 
+def window_slopes(
+    weight: np.ndarray, bias: float, step: np.ndarray, names: np.ndarray, tags: np.ndarray, sizes: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood of tagged windows, and its slopes by emission and by step.
 
-def _train(tagger: Tagger, windows, tags, epochs: int, rng) -> None:
-    """Adaptive gradient steps on the log-likelihood of the tags of windows of equal length."""
+    ``names`` (windows, words, features) and ``tags`` (windows, words) are padded behind ``sizes``
+    words; what is padded takes no part.
+    """
+    n, length = tags.shape
+    inside = np.arange(length) < sizes[:, None]
+    emission = np.where(inside, bias + weight[names].sum(2), 0)
+    e = np.stack([np.zeros_like(emission), emission], 2)
+    alpha, beta = np.zeros((n, length, 2)), np.zeros((n, length, 2))
+    alpha[:, 0] = e[:, 0]
+    for k in range(1, length):
+        ahead = e[:, k] + np.logaddexp.reduce(alpha[:, k - 1, :, None] + step, axis=1)
+        alpha[:, k] = np.where(inside[:, k, None], ahead, alpha[:, k - 1])
+    for k in range(length - 2, -1, -1):
+        behind = np.logaddexp.reduce(step + (e[:, k + 1] + beta[:, k + 1])[:, None, :], axis=2)
+        beta[:, k] = np.where(inside[:, k + 1, None], behind, 0)
+    whole = np.logaddexp.reduce(alpha[:, -1], axis=1)
+    p = np.exp(alpha[:, :, 1] + beta[:, :, 1] - whole[:, None])
+    pairs = inside[:, 1:, None, None]
+    both = alpha[:, :-1, :, None] + step + (e[:, 1:] + beta[:, 1:])[:, :, None, :]
+    both = np.where(pairs, np.exp(both - whole[:, None, None, None]), 0)
+    kind = np.eye(2)[tags.astype(int)]
+    seen = kind[:, :-1, :, None] * kind[:, 1:, None, :] * pairs
+    value = (tags * emission)[inside].sum() + (seen * step).sum() - whole.sum()
+    return float(value), np.where(inside, tags - p, 0), (seen - both).sum((0, 1))
+
+
+def _train(tagger: Tagger, names, tags, sizes, epochs: int, rng) -> None:
+    """Adaptive gradient steps on the log-likelihood of the tags of the windows."""
     squares, step_squares, bias_square = np.full(BUCKETS, 1e-8), np.full((2, 2), 1e-8), 1e-8
     for _ in range(epochs):
-        for part in np.array_split(rng.permutation(len(windows)), max(1, len(windows) // 64)):
-            names, tag = windows[part], tags[part]
-            emission = tagger.bias + tagger.weight[names].sum(2)
-            n, length = tag.shape
-            e = np.stack([np.zeros_like(emission), emission], 2)
-            alpha, beta = np.zeros((n, length, 2)), np.zeros((n, length, 2))
-            alpha[:, 0] = e[:, 0]
-            for k in range(1, length):
-                alpha[:, k] = e[:, k] + np.logaddexp.reduce(
-                    alpha[:, k - 1, :, None] + tagger.step, axis=1
-                )
-            for k in range(length - 2, -1, -1):
-                beta[:, k] = np.logaddexp.reduce(
-                    tagger.step + (e[:, k + 1] + beta[:, k + 1])[:, None, :], axis=2
-                )
-            whole = np.logaddexp.reduce(alpha[:, -1], axis=1)
-            p = np.exp(alpha[:, :, 1] + beta[:, :, 1] - whole[:, None])
-            both = np.exp(
-                alpha[:, :-1, :, None]
-                + tagger.step
-                + (e[:, 1:] + beta[:, 1:])[:, :, None, :]
-                - whole[:, None, None, None]
-            )
-            seen = np.eye(2)[tag[:, :-1].astype(int)][..., None] * np.eye(2)[
-                tag[:, 1:].astype(int)
-            ][:, :, None, :]
-            miss = (tag - p) / n
-            slope = np.bincount(
-                names.ravel(), np.repeat(miss, names.shape[2], axis=1).ravel(), BUCKETS
+        for part in np.array_split(rng.permutation(len(names)), max(1, len(names) // 64)):
+            own, n = names[part], len(part)
+            _, miss, step_slope = window_slopes(
+                tagger.weight, tagger.bias, tagger.step, own, tags[part], sizes[part]
             )
-            used = np.unique(names)
-            slope = slope[used] - 1e-4 * tagger.weight[used]
+            used, place = np.unique(own, return_inverse=True)
+            each = np.repeat(miss / n, own.shape[2], axis=1).ravel()
+            slope = np.bincount(place.ravel(), each, len(used)) - 1e-4 * tagger.weight[used]
             squares[used] += slope**2
             tagger.weight[used] += 0.3 * slope / np.sqrt(squares[used])
-            step_slope = (seen - both).sum((0, 1)) / n - 1e-3 * tagger.step
+            step_slope = step_slope / n - 1e-3 * tagger.step
             step_squares += step_slope**2
             tagger.step = tagger.step + 0.1 * step_slope / np.sqrt(step_squares)
-            bias_square += miss.sum() ** 2
-            tagger.bias += 0.1 * miss.sum() / math.sqrt(bias_square)
+            lean = miss.sum() / n
+            bias_square += lean**2
+            tagger.bias += 0.1 * lean / math.sqrt(bias_square)
+
+
+def _calibrate(tagger: Tagger, rows: np.ndarray, toxic: np.ndarray) -> None:
+    """Newton steps of a ridge logistic regression on the summaries of the texts."""
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(rows @ tagger.calibration, -30, 30)))
+        slope = rows.T @ (p - toxic) + 0.05 * tagger.calibration
+        curve = (rows * (p * (1 - p))[:, None]).T @ rows + 0.05 * np.eye(4)
+        tagger.calibration = tagger.calibration - np.linalg.solve(curve, slope)
+
+
+def _per_text(sample: DataFrame, work, schema: str) -> pa.Table:
+    """``work(text, label, fold)`` of every sampled text, in the order of the texts' digests."""
+    reach_workers(sample.sparkSession)
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, *given = (c.to_pylist() for c in batch.columns)
+            made = [work(*row) for row in zip(*given, strict=True)]
+            columns = [pa.array(keys), *(pa.array(c) for c in zip(*made, strict=True))]
+            if made:
+                yield pa.RecordBatch.from_arrays(columns, ["sha", *names])
+
+    found = sample.select("sha", "text", "label", "fold").mapInArrow(run, f"sha string, {schema}")
+    return found.toArrow().sort_by("sha")
+
+
+def _kinds(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct words of a text in order, and the buckets of each that may mark it."""
+    kinds = sorted(set(words))
+    return kinds, np.array([features(w)[:4] for w in kinds], np.int64).reshape(-1, 4)
+
+
+def _bucket_counts(sample: DataFrame) -> np.ndarray:
+    """(folds, labels, buckets): how many texts hold each bucket; counted in tasks."""
+    reach_workers(sample.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [np.zeros(0, np.int64)]
+            for text, label, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.unique(_kinds(_WORD.findall(text.lower()))[1])
+                cells.append((2 * fold + label) * BUCKETS + own)
+            cell, n = np.unique(np.concatenate(cells), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
+
+    cells = sample.select("text", "label", "fold").mapInArrow(run, "cell long, n long")
+    table = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(2 * FOLDS * BUCKETS)
+    counts[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return counts.reshape(FOLDS, 2, BUCKETS)
+
+
+def choose_limit(sample: DataFrame, counts: np.ndarray, sizes: np.ndarray) -> float:
+    """The evidence limit of ``LIMITS`` whose marks tell the texts of other folds best.
+
+    Marks made from all folds but one are tried on that one: a text counts as found when it has a
+    marked word. The largest F1 over all folds wins, of equals the largest limit.
+    """
+    masks = []
+    for fold in range(FOLDS):
+        (m, n), (outside, inside) = (x.sum(0) - x[fold] for x in (sizes, counts))
+        marks = [marked_buckets(inside, outside, int(n), int(m), limit) for limit in LIMITS]
+        masks.append(sum(mark.astype(np.uint8) << k for k, mark in enumerate(marks)))
+    shared = sample.sparkSession.sparkContext.broadcast(np.stack(masks))
+
+    def work(text: str, label: int, fold: int) -> tuple[int, int]:
+        own = _kinds(_WORD.findall(text.lower()))[1]
+        return label, int(np.bitwise_or.reduce(shared.value[fold][own.ravel()], initial=0))
+
+    table = _per_text(sample, work, "label long, bits long")
+    label, bits = (table[c].to_numpy() for c in ("label", "bits"))
+    best = (-1.0, LIMITS[-1])
+    for k, limit in enumerate(LIMITS):
+        hit = bits >> k & 1
+        f1 = 2 * (hit & label).sum() / max(1, hit.sum() + label.sum())
+        best = max(best, (float(f1), limit))
+    return best[1]
+
+
+def _windows(sample: DataFrame, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, tags and sizes of the training windows; cut in tasks.
+
+    ``PLACES`` of the offending words of a toxic text, drawn at random over the whole text, and
+    three places of any text that has words. Texts shorter than a window are one padded window.
+    """
+    shared = sample.sparkSession.sparkContext.broadcast(marks)
+
+    def work(text: str, label: int, fold: int) -> tuple[bytes, bytes, bytes]:
+        words = _WORD.findall(text.lower())
+        kinds, own = _kinds(words)
+        bad = dict(zip(kinds, (label * shared.value[own].any(1)).tolist(), strict=True))
+        tag = np.fromiter((bad[w] for w in words), np.uint8, len(words))
+        rng = np.random.default_rng(zlib.crc32(text.encode()))
+        spots = np.flatnonzero(tag)
+        if len(spots) > PLACES:
+            spots = rng.choice(spots, PLACES, replace=False)
+        if words:
+            spots = np.concatenate([spots, rng.integers(0, len(words), 3)])
+        starts = np.clip(spots - _WINDOW // 2, 0, max(0, len(words) - _WINDOW)).tolist()
+        starts = starts if len(words) > _WINDOW else starts[:1]
+        names = np.zeros((len(starts), _WINDOW, 5), np.int32)
+        tags = np.zeros((len(starts), _WINDOW), np.uint8)
+        sizes = np.full(len(starts), min(len(words), _WINDOW), np.int32)
+        for k, start in enumerate(starts):
+            names[k, : sizes[k]] = [features(w) for w in words[start : start + _WINDOW]]
+            tags[k, : sizes[k]] = tag[start : start + _WINDOW]
+        return names.tobytes(), tags.tobytes(), sizes.tobytes()
+
+    table = _per_text(sample, work, "names binary, tags binary, sizes binary")
+    names, tags, sizes = (b"".join(table[c].to_pylist()) for c in ("names", "tags", "sizes"))
+    return (
+        np.frombuffer(names, np.int32).reshape(-1, _WINDOW, 5),
+        np.frombuffer(tags, np.uint8).reshape(-1, _WINDOW),
+        np.frombuffer(sizes, np.int32),
+    )
+
+
+def fit_tagger(sample: DataFrame, epochs: int = 12, seed: int = 7) -> Tagger:
+    """A tagger from sampled texts: sha, text, label and fold, one row per text.
+
+    Texts stay in tasks. The driver gets, per text, its window features (at most ``PLACES`` + 3
+    windows) and four numbers, and one count per fold, label and bucket. Without toxic and other
+    texts alike there is nothing to learn: scores are then the smoothed share of toxic texts.
+    """
+    sizes = np.zeros((FOLDS, 2))
+    for row in sample.groupBy("fold", "label").count().collect():
+        sizes[row["fold"], row["label"]] = row["count"]
+    m, n = sizes.sum(0).tolist()
+    share = (n + 0.5) / (n + m + 1)
+    base = math.log(share / (1 - share))
+    tagger = Tagger(np.zeros(BUCKETS), -6.0, np.zeros((2, 2)), np.array([base, 0, 0, 0]))
+    if not n or not m:
+        return tagger
+    counts = _bucket_counts(sample)
+    limit = choose_limit(sample, counts, sizes)
+    outside, inside = counts.sum(0)
+    marks = marked_buckets(inside, outside, int(n), int(m), limit)
+    names, tags, lengths = _windows(sample, marks)
+    if len(names):
+        _train(tagger, names, tags, lengths, epochs, np.random.default_rng(seed))
+    shared = sample.sparkSession.sparkContext.broadcast(tagger)
+
+    def work(text: str, label: int, fold: int) -> tuple[int, bytes]:
+        ((_, marginal, count),) = shared.value.read([text])
+        return label, shared.value.summary(marginal, count).tobytes()
+
+    table = _per_text(sample, work, "label long, summary binary")
+    rows = np.frombuffer(b"".join(table["summary"].to_pylist())).reshape(-1, 4)
+    _calibrate(tagger, rows, table["label"].to_numpy().astype(np.float64))
+    return tagger
 
 
 def fit_from_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tagger:
     """A tagger from at most ``sample`` labelled texts, up to half of them toxic.
 
-    Held-out rows are never read for labels. Copies of one text count once.
+    Held-out rows are never read for labels, also not for the choice of the evidence limit, which
+    folds of the training texts decide. Of rows with one id the text with the smallest digest
+    counts, copies of one text count once, with the label of the smallest id.
     """
     ids = training_ids(labels, "toxic", CHOSEN_FROM)
     rank = F.xxhash64("doc_id")
@@ -250,9 +367,19 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     rows = docs.select(docs["doc_id"], text_of(docs).alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    table = rows.dropDuplicates(["doc_id"]).select("doc_id", "text", "label").toPandas()
-    table = table.sort_values("doc_id").drop_duplicates("text")
-    return fit_tagger(table["text"].tolist(), table["label"].to_numpy(np.float64))
+    one = rows.groupBy("doc_id").agg(
+        F.min(F.struct(digest(F.col("text")).alias("sha"), "text", "label")).alias("row")
+    )
+    texts = one.groupBy("row.sha").agg(
+        F.min(F.struct("doc_id", F.col("row.label").cast("int").alias("label"), "row.text")).alias("row")
+    )
+    texts = texts.select(
+        "sha", "row.text", "row.label", F.pmod(F.crc32("sha"), F.lit(FOLDS)).cast("int").alias("fold")
+    )
+    kept = stored(texts.repartition(FITTED_IN, "sha"), "toxicity-sample")
+    tagger = fit_tagger(kept)
+    discard(kept)
+    return tagger
 
 
 def toxic_spans(docs: DataFrame, tagger: Tagger) -> DataFrame:
@@ -310,7 +437,8 @@ def toxicity_scores(
     """doc_id, held_out, score, predicted and the number of offending spans of every document.
 
     Labels that are null or have no document are passed over. Repeated rows and null ids give a
-    row each.
+    row each, and equal texts equal scores. An empty table gives no rows. Texts of any length are
+    scored whole: the longest one of a task must fit into its memory as words.
     """
     found = toxic_spans(docs, fit_from_labels(docs, labels, sample))
     return found.select(

@@ -16,7 +16,7 @@ from skuloom.llm.bpe import prefix_token_counts, round_trip, token_counts, vocab
 from skuloom.llm.packing import END, pack_documents, pack_patterns
 from skuloom.llm.quality_model import fit_trees, quality_scores
 from skuloom.llm.queries import ORACLES, QUERIES
-from skuloom.llm.toxicity import Tagger, fit_tagger, toxic_spans, toxicity_scores
+from skuloom.llm.toxicity import Tagger, fit_from_labels, toxic_spans, toxicity_scores, window_slopes
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SF_DIR = "/root/testdata/sf0.01"
@@ -134,7 +134,13 @@ def test_marginals_by_enumeration():
         at += n
 
 
-def test_tagger_finds_spans(docs):
+def labelled(spark, docs, texts, toxic):
+    rows = docs(list(enumerate(texts)))
+    labels = [(k, None, int(x)) for k, x in enumerate(toxic)]
+    return rows, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+
+def test_tagger_finds_spans(spark, docs):
     rng = random.Random(1)
     plain = ["".join(rng.choices("abcdefg", k=5)) for _ in range(200)]
     rows = [rng.choices(plain, k=50) for _ in range(200)]
@@ -142,11 +148,74 @@ def test_tagger_finds_spans(docs):
     for own, bad in zip(rows, toxic, strict=True):
         if bad:
             own[10], own[30] = "zzgrumble", "zzsnark"
-    model = fit_tagger([" ".join(r) for r in rows], toxic.astype(float))
-    found = toxic_spans(docs([(1, "abcde ZZgrumble gfedc"), (2, "abc " * 40), (3, None)]), model)
+    model = fit_from_labels(*labelled(spark, docs, [" ".join(r) for r in rows], toxic))
+    long = "abcde " * 300_000 + "zzgrumble"
+    found = toxic_spans(
+        docs([(1, "abcde ZZgrumble gfedc"), (2, "abc " * 40), (3, None), (4, long)]), model
+    )
     got = {r.doc_id: r for r in found.collect()}
     assert [(s.begin, s.end) for s in got[1].spans] == [(6, 15)]
     assert got[2].spans == got[3].spans == [] and got[2].score < 0.5 and 0 <= got[3].score <= 1
+    assert [(s.begin, s.end) for s in got[4].spans] == [(len(long) - 9, len(long))]
+
+
+def test_short_texts_train_the_tagger(spark, docs):
+    rng = random.Random(2)
+    plain = ["".join(rng.choices("abcdefg", k=5)) for _ in range(200)]
+    texts = [" ".join(rng.choices(plain, k=6)) + " zzgrumble" * (k % 4 == 0) for k in range(200)]
+    found = toxicity_scores(*labelled(spark, docs, texts, np.arange(200) % 4 == 0)).collect()
+    assert all((r.predicted == 1) == (r.doc_id % 4 == 0) == (r.n_spans == 1) for r in found)
+
+
+def test_slopes_of_padded_windows_against_differences():
+    rng = np.random.default_rng(5)
+    weight, step, bias = rng.normal(size=20), rng.normal(size=(2, 2)), 0.3
+    names, sizes = rng.integers(0, 20, (6, 7, 3)), np.array([7, 1, 3, 7, 5, 2])
+    tags = rng.integers(0, 2, (6, 7))
+    value, miss, steps = window_slopes(weight, bias, step, names, tags, sizes)
+    exact = 0.0
+    for own, tag, n in zip(weight[names].sum(2) + bias, tags, sizes, strict=True):
+        score = lambda t: sum(e for e, x in zip(own, t) if x) + sum(map(lambda a, b: step[a, b], t, t[1:]))  # noqa
+        paths = [score([c >> k & 1 for k in range(n)]) for c in range(2**n)]
+        exact += score(tag[:n].tolist()) - np.log(np.exp(paths).sum())
+    assert np.isclose(value, exact)
+    for a in range(2):
+        for b in range(2):
+            other = step.copy()
+            other[a, b] += 1e-6
+            moved = window_slopes(weight, bias, other, names, tags, sizes)[0]
+            assert np.isclose((moved - value) / 1e-6, steps[a, b], atol=1e-4)
+    slope = np.bincount(names.ravel(), np.repeat(miss, 3, axis=1).ravel(), 20)
+    for k in range(20):
+        other = weight.copy()
+        other[k] += 1e-6
+        moved = window_slopes(other, bias, step, names, tags, sizes)[0]
+        assert np.isclose((moved - value) / 1e-6, slope[k], atol=1e-4)
+
+
+def test_trees_against_node_by_node_walk_and_full_search():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 4))
+    y = (x[:, 1] + 0.3 * rng.normal(size=300) > 0.2).astype(float)
+    trees = fit_trees(x, y, rounds=6, depth=3)
+    for row, got in zip(x, trees.score(x), strict=True):
+        total = trees.start
+        for feature, limit, leaf in zip(trees.feature, trees.limit, trees.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > limit[node] else 1)
+            total += leaf[node - len(feature)]
+        assert np.isclose(got, 1 / (1 + np.exp(-total)))
+    one = fit_trees(x, y, rounds=1, depth=1, bins=16)
+    p = (y.sum() + 1) / (len(y) + 2)
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    cuts = np.quantile(x, np.linspace(0, 1, 17)[1:-1], axis=0)
+    gains = {}
+    for f in range(4):
+        for cut in cuts[:, f]:
+            parts = [x[:, f] <= cut, x[:, f] > cut]
+            gains[f, cut] = sum(g[s].sum() ** 2 / (h[s].sum() + 1) for s in parts)
+    assert np.isclose(gains[one.feature[0, 0], one.limit[0, 0]], max(gains.values()))
 
 
 def test_trees_learn_and_take_one_class():
