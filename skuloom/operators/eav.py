@@ -58,23 +58,31 @@ def eav_build(
 ) -> DataFrame:
     """Flatten products into (source, load time, sku, product name, attribute, value).
 
-    Attributes are filtered before their values are expanded. Distinct values of one attribute
-    come together by a set aggregate, which drops copies before the shuffle; one text per brand
-    is then made inside the row, so distinct rows need no second shuffle.
+    Attributes are filtered before their values are expanded. Details are made distinct and
+    counted by brand and text as flat rows, which drops copies before each shuffle and spreads a
+    hot attribute over many tasks. Only the counted texts come together; one text per brand is
+    then made inside the row.
     """
     values = value_rows(keep_active(attribute_rows(products), "id", input_filter))
-    detail = F.struct("brand", "name", "updateDate", "value", "uom", "valueId", "subValue")
-    grouped = (
+    key = ["sku", "nome_produto", "atributo"]
+    details = (
         values.where(F.lower("id") != K.BRAND_ATTRIBUTE)
-        .groupBy("sku", "nome_produto", F.col("id").alias("atributo"))
-        .agg(F.collect_set(detail).alias("detalhes"))
+        .withColumnRenamed("id", "atributo")
+        .select(*key, "brand", "name", "updateDate", "value", "uom", "valueId", "subValue")
+        .distinct()
+    )
+    counted = details.groupBy(*key, "brand", with_unit(F.col("value"), F.col("uom")).alias("texto")).agg(
+        F.count(F.lit(1)).cast("int").alias("vezes")
+    )
+    grouped = counted.groupBy(*key).agg(
+        F.collect_list(F.struct("brand", "texto", "vezes")).alias("textos")
     )
 
     def text_of(brand: Column) -> Column:
-        own = F.filter("detalhes", lambda v: v["brand"] == brand)
-        return joined(F.transform(own, lambda v: with_unit(v["value"], v["uom"])), separator)
+        own = F.filter("textos", lambda v: v["brand"] == brand)
+        return joined(F.flatten(F.transform(own, lambda v: F.array_repeat(v["texto"], v["vezes"]))), separator)
 
-    names = F.array_distinct(F.transform("detalhes", lambda v: v["brand"]))
+    names = F.array_distinct(F.transform("textos", lambda v: v["brand"]))
     texts = F.array_distinct(F.transform(names, text_of))
     rows = grouped.select("sku", "nome_produto", "atributo", F.explode(texts).alias("valor"))
     brands = products.select(

@@ -51,3 +51,11 @@ def test_columns_are_pruned(spark, name, table, columns):
 def test_filters_are_pushed(spark, name, table, condition):
     pushed = [p for t, _, p in scans(driver.queries()[name](spark, SF_DIR)) if t == table]
     assert any(condition in p for p in pushed)
+
+
+@pytest.mark.parametrize("name", ["d01_eav_build", "d11_wide_product", "s14_typed_publish"])
+def test_details_are_counted_not_gathered(spark, name):
+    """No set of whole details: the attribute store gathers counted texts only."""
+    plan = driver.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set(struct(" not in plan and "collect_set(named_struct(" not in plan
+    assert "collect_list(struct(brand" in plan or "collect_list(named_struct(brand" in plan
