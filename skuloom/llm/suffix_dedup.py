@@ -39,6 +39,8 @@ LENGTH = 100
 _ANCHOR = 48
 #: Bytes handled at once; small enough for a processor's cache.
 _STRETCH = 1 << 18
+#: Rows of an Arrow batch that a task works on at a time.
+_ROWS = 500
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPLIT = np.uint64(0xBF58476D1CE4E5B9)
 #: One value per byte and lane.
@@ -146,13 +148,24 @@ def units_of(raws: list[np.ndarray], length: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate([f[i] for f in found]) for i in range(4))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``_ROWS`` rows, so that what is derived from one stays small.
+
+    Memory that a slice leaves in Arrow's pool goes back before the worker waits for its next task.
+    """
+    for batch in batches:
+        for begin in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(begin, _ROWS)
+    pa.default_memory_pool().release_unused()
+
+
 def _read(df: DataFrame, each: Callable, schema: str) -> DataFrame:
     """Arrow batches of df through ``each``, which turns one batch into columns."""
     reach_workers(df.sparkSession)
     fields = [f.split(" ")[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             for columns in each(batch):
                 yield pa.RecordBatch.from_arrays(list(columns), fields)
 
@@ -438,7 +451,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spot = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts, runs = batch.column(spot), batch.column(len(docs_columns))
             cut = texts.to_pylist()
             some = pc.fill_null(pc.list_value_length(runs), 0).to_numpy() > 0
