@@ -305,13 +305,17 @@ def removed_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     classes = stored(
         hulls.groupBy("anchor", "hull").agg(
-            F.min(F.struct(F.col("base") + F.col("lo"), "base", "lo", "hi")).alias("first")
+            F.min(F.col("base") + F.col("lo")).alias("earliest"),
+            F.max(F.col("base") + F.col("lo")).alias("latest"),
+            # bases grow with positions, and strings that span equal bytes are equally many
+            F.min("base").alias("base"),
+            F.min(F.col("hi") - F.col("lo")).alias("width"),
         ),
         "hull-classes",
     )
     repeated = stored(
         hulls.join(
-            classes.select("anchor", "hull", F.col("first.col1").alias("earliest")),
+            classes.where("earliest < latest").select("anchor", "hull", "earliest").hint("shuffle_hash"),
             ["anchor", "hull"],
         )
         .where("base + lo > earliest")
@@ -321,8 +325,8 @@ def removed_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     mixed = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     open_units = stored(
-        classes.join(mixed, "anchor")
-        .select("first.base", "first.lo", "first.hi")
+        classes.join(mixed.hint("shuffle_hash"), "anchor")
+        .selectExpr("base", "earliest - base AS lo", "earliest - base + width AS hi")
         .groupBy("base")
         .agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("stretches")),
         "open-units",
