@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skuloom.llm import order_minhash
 from skuloom.llm import quality_rules as rules
 from skuloom.llm.exact_dedup import drop_copies, exact_groups
 from skuloom.llm.order_minhash import (
@@ -237,6 +238,30 @@ def test_edited_copies_meet_across_the_minimum(docs):
     assert largest >= 130 and sum(r.class_size == 1 for r in near) == len(rows) - largest
 
 
+def test_groups_without_links_make_no_row_per_pair(docs, monkeypatch):
+    """Shortened copies of one text allow many links by their words, but few hold; each is tested once."""
+    rng = random.Random(21)
+    base = words(78, 150).split()
+    texts = [[w for w in base if rng.random() > 0.17] for _ in range(300)]
+    rows, test = [], order_minhash._linked
+
+    def counted(pairs, *rest):
+        rows.append(pairs.count())
+        return test(pairs, *rest)
+
+    monkeypatch.setattr(order_minhash, "_linked", counted)
+    got = near_duplicates(docs([(k, " ".join(t), "s") for k, t in enumerate(texts)])).collect()
+    first = list(range(300))
+    met = [set(sketches(t)) for t in texts]
+    for a in range(300):
+        for b in range(a):
+            if first[a] != first[b] and not met[a].isdisjoint(met[b]) and similar(texts[a], texts[b]):
+                first = [min(first[a], first[b]) if f in (first[a], first[b]) else f for f in first]
+    assert {r.doc_id: r.class_id for r in got} == dict(enumerate(first))
+    assert len(set(first)) > 100
+    assert sum(rows) < sum(map(len, met))
+
+
 @pytest.mark.parametrize("n", [6, 9, 14, 15, 20, 60, 100, 110, 200])
 def test_search_reaches_the_link_limit(n):
     """Pairs at edit similarity 0.80 to 0.90 share a sketch."""
