@@ -26,7 +26,8 @@ def pivot_max(
 
     Up to ``MAX_CONDITIONAL`` aggregates the pivot is one conditional aggregation: rows of a key
     meet in one wide row before the single shuffle. Beyond that the rows are reduced per key and
-    name first and then pivoted, which takes a second shuffle but a narrow buffer.
+    name first and then pivoted, which takes a second shuffle but a narrow buffer. Spark's pivot does
+    so on its own; only several value columns need to be reduced before they are merged.
     """
 
     def merged(columns: list[Column]) -> Column:
@@ -40,6 +41,8 @@ def pivot_max(
             for n in names
         ]
         return df.groupBy(*keys).agg(*cells)
+    if len(values) == 1:
+        return df.select(*keys, name, *values).groupBy(*keys).pivot(name, names).agg(F.max(values[0]))
     best = df.groupBy(*keys, name).agg(*[F.max(v).alias(v) for v in values])
     single = best.select(*keys, name, merged([F.col(v) for v in values]).alias("_valor"))
     return single.groupBy(*keys).pivot(name, names).agg(F.max("_valor"))
