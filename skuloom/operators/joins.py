@@ -149,35 +149,37 @@ def link_star(
     """Titles of every linked item, joined per owner, one column per field.
 
     All link tables are stacked into one long table and all item tables into another, so the
-    number of shuffles does not grow with the number of fields and no owner fans out.
+    number of shuffles does not grow with the number of fields and no owner fans out. Fields are
+    known by their places in ``links``: the tasks that drop repeated links hold fixed-width rows.
     """
     pairs = reduce(
         DataFrame.unionByName,
         [
             x.links.select(
-                F.lit(x.field).alias("campo"),
+                F.lit(i).alias("campo"),
                 F.col(x.owner).alias("dono"),
                 F.col(x.item).alias("item"),
             )
-            for x in links
+            for i, x in enumerate(links)
         ],
     ).distinct()
     titles = reduce(
         DataFrame.unionByName,
         [
             x.items.select(
-                F.lit(x.field).alias("campo"),
+                F.lit(i).alias("campo"),
                 F.col(x.item_id).alias("item"),
                 F.col(x.title).alias("titulo"),
             )
-            for x in links
+            for i, x in enumerate(links)
         ],
     )
     fields = [x.field for x in links]
     titled = lookup_join(pairs, titles, ["campo", "item"], "inner")
     wide = titled.groupBy("dono").agg(
         *[
-            F.collect_set(F.when(F.col("campo") == f, F.col("titulo"))).alias(f) for f in fields
+            F.collect_set(F.when(F.col("campo") == i, F.col("titulo"))).alias(f)
+            for i, f in enumerate(fields)
         ]
     )
     texts = wide.select("dono", *[joined(F.col(f), separator).alias(f) for f in fields])

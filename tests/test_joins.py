@@ -94,3 +94,12 @@ def test_link_star_does_not_fan_out(make):
     star = link_star(owners, "id", [Link("cor", links, "p", "c", colours, "id", "title"),
                                     Link("tam", sizes, "p", "s", sizes_of, "id", "title")])
     assert {tuple(r) for r in star.collect()} == {(1, "p1", "blue;red", "XL"), (2, "p2", "", "")}
+
+
+def test_link_star_holds_numbers_of_fields(make):
+    """The task that drops repeated links keeps no name of a field in each of its rows."""
+    links, items = make([(1, 1), (1, 1), (1, 2)], "o int, i int"), make([(1, "x"), (2, "y")], "id int, title string")
+    star = link_star(make([(1,), (2,)], "id int"), "id", [Link(f, links, "o", "i", items, "id", "title") for f in ("f", "g")])
+    assert sorted(map(tuple, star.collect())) == [(1, "x;y", "x;y"), (2, "", "")]
+    analysed = star._jdf.queryExecution().analyzed().toString()
+    assert "0 AS campo" in analysed and "1 AS campo" in analysed and "f AS campo" not in analysed
