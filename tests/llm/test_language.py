@@ -15,7 +15,7 @@ import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
 
-from skuloom.llm import spelling
+from skuloom.llm import spelling, suffix_tree
 from skuloom.llm.fill_middle import BLOCK, BlockTree, FillPlan, fill_middle, restored
 from skuloom.llm.queries import ORACLES, QUERIES
 from skuloom.llm.spelling import _compare_sorted, _first_keys, near_words, spelling_variants
@@ -267,6 +267,44 @@ def test_language_scores(docs):
         assert total == pytest.approx(1)
 
 
+def plain_scores(rows: list[tuple], limits: TreeLimits) -> tuple[Counter, PlainTree]:
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    tree, want = PlainTree([plain_tokens(t) for i, t in rows if not held(i)], limits), Counter()
+    for i, t in rows:
+        own = plain_tokens(t)
+        base = sum(math.log10((tree.single[w] + 1) / (tree.tokens + tree.distinct + 1)) for w in own)
+        known = sum(tree.single[w] > 0 for w in own)
+        score = round(tree.score(own, limits.depth), 5)
+        want[i, held(i), len(own), known, tree.tokens, round(base, 5), score] += 1
+    return want, tree
+
+
+@pytest.mark.parametrize("places", [40, 300, 1 << 20])
+@pytest.mark.parametrize("limits", [TreeLimits(), TreeLimits(depth=2, least=2, gain=1.0), TreeLimits(gain=60.0)])
+def test_strings_of_any_count_are_learnt(monkeypatch, docs, places, limits):
+    """With few places in a task, most contexts are in the top of the tree."""
+    monkeypatch.setattr(suffix_tree, "_PLACES", places)
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice("the the of a x y".split() + [f"r{rng.randrange(300)}"])
+                         for _ in range(rng.randrange(40)))) for k in range(120)]
+    rows += [(k + 500, t) for k, t in rows[:30]] + [(None, "the of the of"), (7, None), (8, " ")]
+    got = language_scores(docs(rows), limits).collect()
+    want, tree = plain_scores(rows, limits)
+    assert Counter((*r[:5], round(r[5], 5), round(r[6], 5)) for r in got) == want
+    assert any(tree.count[s] <= 3 for s in tree.kept) == (limits.gain == 1) and tree.kept
+
+
+def test_texts_seen_twice_score_higher_in_a_large_corpus(docs):
+    """A string's share of the tokens decides nothing: 4 of 1.7 million are learnt as 4 of 2,000."""
+    twice = [" ".join(f"q{k}v{j}" for j in range(50)) for k in range(4)]
+    rows = [(3 * k, " ".join(f"w{(k * 7 + j * j) % 5000}" for j in range(1000))) for k in range(2000)]
+    seen = [k for k in range(100_000, 101_000) if zlib.crc32(str(k).encode()) % 7 != 2]
+    rows += [(seen[8 * k + j], t) for k, t in enumerate(twice) for j in range(4)]
+    got = {r.doc_id: r for r in language_scores(docs(rows)).collect() if r.doc_id >= 100_000}
+    for r in got.values():
+        assert r.n_tokens == 51 and r.score > r.base_score + 150
+
+
 def test_language_scores_without_rows_or_training(docs):
     assert language_scores(docs([])).count() == 0
     alone = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
